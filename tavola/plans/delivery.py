@@ -58,9 +58,11 @@ def _delivered(cancellation: str = "cancellation") -> Column:
 
 # ================================================================= cleaning
 # C01
-def clean_customer_orders(co: DataFrame, cols: Sequence[str] = ("exclusions", "extras")) -> DataFrame:
-    """Blank text and 'null' spellings become NULL in the modifier columns."""
-    return co.withColumns({c: nullify_sentinels(c) for c in cols})
+def clean_customer_orders(
+    co: DataFrame, cols: Sequence[str] = ("exclusions", "extras"), patterns: Sequence[str] = ("%null%",)
+) -> DataFrame:
+    """Blank text and 'null' spellings (or other sentinel ``patterns``) become NULL."""
+    return co.withColumns({c: nullify_sentinels(c, patterns) for c in cols})
 
 
 # C02
@@ -82,16 +84,22 @@ def strip_runner_text(
     duration_units: Sequence[str] = DURATION_UNITS,
 ) -> DataFrame:
     """'null' spellings to NULL; units removed from distance and duration text."""
-    return ro.withColumns(
+    out = clean_measures(ro, {"distance": (distance_units, "suffix"), "duration": (duration_units, "suffix")})
+    return out.withColumns(
         {
             "pickup_time": nullify_sentinels("pickup_time", blank=False),
-            "distance": strip_units(nullify_sentinels("distance", blank=False), distance_units),
-            "duration": strip_units(nullify_sentinels("duration", blank=False), duration_units),
             "cancellation": nullify_sentinels("cancellation"),
         }
     )
 
 
+def clean_measures(df: DataFrame, spec: dict[str, tuple[Sequence[str], str]]) -> DataFrame:
+    """For each column: 'null' spellings to NULL, then the unit glued before/after the number removed."""
+    return df.withColumns(
+        {c: strip_units(nullify_sentinels(c, blank=False), units, pos) for c, (units, pos) in spec.items()}
+    )
+
+
 # C05
 def distance_to_decimal(ro: DataFrame, precision: int = 10, scale: int = 1) -> DataFrame:
     return ro.withColumn("distance", to_decimal("distance", precision, scale))
@@ -135,22 +143,35 @@ def toppings_text(toppings: DataFrame) -> DataFrame:
 
 
 # C11
-def split_modifiers(co: DataFrame, sep: str = ",", cast: str | None = "int") -> DataFrame:
-    """First and second modifier of each list as their own columns (lists may be longer)."""
-    return co.withColumns(
-        {
-            "exclusion_1": csv_part("exclusions", 1, sep, cast),
-            "exclusion_2": csv_part("exclusions", 2, sep, cast),
-            "extra_1": csv_part("extras", 1, sep, cast),
-            "extra_2": csv_part("extras", 2, sep, cast),
-        }
-    )
+def split_modifiers(
+    co: DataFrame,
+    sep: str = ",",
+    cast: str | None = "int",
+    cols: dict[str, str] | None = None,
+) -> DataFrame:
+    """First and second entry of each list as their own columns (lists may be longer).
+
+    ``cols`` maps list column -> output prefix (default exclusions->exclusion, extras->extra).
+    """
+    cols = cols or {"exclusions": "exclusion", "extras": "extra"}
+    out = {}
+    for src, prefix in cols.items():
+        out[f"{prefix}_1"] = csv_part(src, 1, sep, cast)
+        out[f"{prefix}_2"] = csv_part(src, 2, sep, cast)
+    return co.withColumns(out)
 
 
 # C12
-def name_modifiers(co: DataFrame, toppings: DataFrame, name_col: str = "topping_name") -> DataFrame:
-    cols = ["exclusion_1", "exclusion_2", "extra_1", "extra_2"]
-    return lookup_names(co, cols, toppings, "topping_id", name_col, suffix="_topping")
+def name_modifiers(
+    co: DataFrame,
+    toppings: DataFrame,
+    name_col: str = "topping_name",
+    cols: Sequence[str] = ("exclusion_1", "exclusion_2", "extra_1", "extra_2"),
+    id_col: str = "topping_id",
+    suffix: str = "_topping",
+) -> DataFrame:
+    """Resolve every id column to its name through one lookup table."""
+    return lookup_names(co, list(cols), toppings, id_col, name_col, suffix=suffix)
 
 
 # C13
@@ -438,12 +459,13 @@ def profit(
     prices: Mapping,
     cost_per_km: str = "0.30",
     col: str = "pizza_id",
+    default: int = 0,
 ) -> DataFrame:
     """Pizza revenue minus runner pay per km over delivered orders.
 
     Revenue is summed per order first and the distance joined once per order.
     """
-    per_order = co.groupBy("order_id").agg(F.sum(price_of(F.col(col), prices, 0)).alias("rev"))
+    per_order = co.groupBy("order_id").agg(F.sum(price_of(F.col(col), prices, default)).alias("rev"))
     runs = ro_clean.filter(_delivered()).select("order_id", "distance")
     rows = runs.join(per_order, "order_id", "inner")
     pay = F.col("distance") * F.lit(cost_per_km).cast("decimal(4,2)")

@@ -44,7 +44,9 @@ def top_items(items: DataFrame, item: str = "item") -> DataFrame:
 
 
 # I04
-def _pick(col: F.Column, mapping: Mapping[str, str], default: str) -> F.Column:
+def _pick(col: F.Column, mapping: Mapping[str, str] | None, default: str) -> F.Column:
+    if mapping is None:  # identity: the pizza name is its own label
+        return col
     expr = F.lit(default)
     for k, v in mapping.items():
         expr = F.when(col == F.lit(k), F.lit(v)).otherwise(expr)
@@ -58,8 +60,8 @@ def order_label(
     key: Sequence[str] = ("record_id",),
     has_exclusions: str = "exclusions",
     has_extras: str = "extras",
-    unmodified: Mapping[str, str] = LABEL_UNMODIFIED,
-    modified: Mapping[str, str] = LABEL_MODIFIED,
+    unmodified: Mapping[str, str] | None = LABEL_UNMODIFIED,
+    modified: Mapping[str, str] | None = LABEL_MODIFIED,
     modified_default: str = LABEL_MODIFIED_DEFAULT,
     unmodified_default: str = LABEL_UNMODIFIED_DEFAULT,
 ) -> DataFrame:

@@ -98,3 +98,377 @@ def _d11(spark, sf):
 @register("D12_member_rank")
 def _d12(spark, sf):
     return diner.member_rank(*_loyalty(spark, sf))
+
+
+# ---------------------------------------------------------------- delivery
+from pyspark.sql import functions as F  # noqa: E402
+
+from tavola.functions import csv_part, minutes_between, to_money  # noqa: E402
+from tavola.operators import adjust, next_after  # noqa: E402
+from tavola.plans import delivery as D  # noqa: E402
+from tavola.plans import ingredients as I  # noqa: E402
+
+
+def _dl(spark, sf):
+    t = load_tables(spark, sf)
+    return t, A.delivery(t)
+
+
+def _coc(t, d):
+    """customer_orders_clean: pizza name and the order's cancellation on every pizza."""
+    return D.enrich_cancellation(D.enrich_name(d.customer_orders, d.pizza_names), d.runner_orders)
+
+
+def _ratings(t):
+    """Delivered orders rated by the number leading their priority text ('1-URGENT' -> 1)."""
+    return t.orders.filter(F.col("o_orderstatus") != A.CANCELLED_STATUS).select(
+        F.col("o_orderkey").alias("order_id"),
+        csv_part("o_orderpriority", 1, "-", "int").alias("rating"),
+        F.col("o_orderpriority").alias("comments"),
+    )
+
+
+@register("C01_nullify_sentinels")
+def _c01(spark, sf):
+    t = load_tables(spark, sf)
+    orders = t.orders.select("o_orderkey", "o_orderpriority")
+    return D.clean_customer_orders(orders, ["o_orderpriority"], patterns=["%not specified%", "%null%"])
+
+
+@register("C02_enrich_name")
+def _c02(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.enrich_name(d.customer_orders, d.pizza_names).select("order_id", "customer_id", "pizza_id", "pizza_name")
+
+
+@register("C03_enrich_cancellation")
+def _c03(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.enrich_cancellation(d.customer_orders, d.runner_orders).select("order_id", "pizza_id", "cancellation")
+
+
+@register("C04_strip_units")
+def _c04(spark, sf):
+    t = load_tables(spark, sf)
+    part = t.part.select("p_partkey", F.col("p_brand").alias("brand_no"))
+    return D.clean_measures(part, {"brand_no": (["Brand#"], "prefix")})
+
+
+@register("C05_to_decimal")
+def _c05(spark, sf):
+    out = D.distance_to_decimal(_c04(spark, sf).withColumnRenamed("brand_no", "distance"), 10, 1)
+    return out.select("p_partkey", to_money("distance").alias("brand_no"))
+
+
+@register("C06_to_int")
+def _c06(spark, sf):
+    t = load_tables(spark, sf)
+    orders = t.orders.select("o_orderkey", csv_part("o_orderpriority", 1, "-").alias("duration"))
+    return D.duration_to_int(orders).withColumnRenamed("duration", "priority_no")
+
+
+@register("C07_totals")
+def _c07(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.runner_totals(d.runner_orders)
+
+
+def _part_recipes(t):
+    return t.part.select(F.col("p_partkey").alias("pizza_id"), F.col("p_name").alias("toppings"))
+
+
+@register("C08_explode_recipe")
+def _c08(spark, sf):
+    t = load_tables(spark, sf)
+    return D.explode_recipe(_part_recipes(t), sep=" ", cast=None)
+
+
+@register("C09_name_toppings")
+def _c09(spark, sf):
+    t = load_tables(spark, sf)
+    rows = t.nation.select(F.col("n_nationkey").alias("pizza_id"), F.col("n_regionkey").alias("topping_id"))
+    tops = t.region.select(F.col("r_regionkey").alias("topping_id"), F.col("r_name").alias("topping_name"))
+    return D.name_toppings(rows, tops)
+
+
+@register("C10_toppings_text")
+def _c10(spark, sf):
+    t = load_tables(spark, sf)
+    return D.toppings_text(t.region.select(F.col("r_regionkey").alias("topping_id"), F.col("r_name").alias("topping_name")))
+
+
+@register("C11_split_modifiers")
+def _c11(spark, sf):
+    t = load_tables(spark, sf)
+    return D.split_modifiers(t.part.select("p_partkey", "p_name"), sep=" ", cast=None, cols={"p_name": "word"})
+
+
+@register("C12_name_modifiers")
+def _c12(spark, sf):
+    t = load_tables(spark, sf)
+    cust = t.customer.select("c_custkey", "c_nationkey")
+    return D.name_modifiers(cust, t.nation, name_col="n_name", cols=["c_nationkey"], id_col="n_nationkey", suffix="_name")
+
+
+def _brand_recipes(t):
+    return t.part.select(
+        F.col("p_brand").alias("pizza_id"), F.col("p_type").alias("topping_id"), F.col("p_type").alias("topping_name")
+    ).distinct()
+
+
+@register("C13_attach_ingredients")
+def _c13(spark, sf):
+    t = load_tables(spark, sf)
+    parts = t.part.select("p_partkey", F.col("p_brand").alias("pizza_id"))
+    return D.attach_ingredients(parts, _brand_recipes(t))
+
+
+@register("C14_record_id")
+def _c14(spark, sf):
+    t = load_tables(spark, sf)
+    return D.with_record_id(t.lineitem, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "record_seq")
+
+
+def _conv_tokens(spark, sf):
+    t = load_tables(spark, sf)
+    return D.explode_modifier(t.conversations, "text", ["conv_id", "turn"], sep=",")
+
+
+@register("C15_explode_modifiers")
+def _c15(spark, sf):
+    return _conv_tokens(spark, sf)
+
+
+def _qty(d):
+    return adjust(d.standard, d.extras.select("record_id", "item"), d.exclusions.select("record_id", "item"), "record_id", "item")
+
+
+@register("C16_adjusted_recipe")
+def _c16(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.adjusted_recipe(_qty(d), d.records)
+
+
+@register("C17_adjusted_rows")
+def _c17(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.adjusted_rows(D.adjusted_recipe(_qty(d), d.records))
+
+
+@register("C18_drop_blank")
+def _c18(spark, sf):
+    return D.drop_blank(_conv_tokens(spark, sf), "topping_id")
+
+
+@register("C19_rating_check")
+def _c19(spark, sf):
+    t = load_tables(spark, sf)
+    rated = t.lineitem.select(F.col("l_orderkey").alias("order_id"), F.col("l_quantity").cast("int").alias("rating"))
+    checked = D.rating_check(rated, bounds=(1, 25))
+    return checked.groupBy("check_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("C20_delivery_report")
+def _c20(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.delivery_report(D.ratings_valid(_ratings(t)), d.customer_orders, d.runner_orders)
+
+
+@register("E03_ratings_valid")
+def _e03(spark, sf):
+    return D.ratings_valid(_ratings(load_tables(spark, sf)))
+
+
+@register("E04_delivery_report")
+def _e04(spark, sf):
+    return _c20(spark, sf)
+
+
+# A. pizza metrics
+@register("A01_ordered_total")
+def _a01(spark, sf):
+    return D.ordered_total(_dl(spark, sf)[1].customer_orders)
+
+
+@register("A02_unique_customers")
+def _a02(spark, sf):
+    return D.unique_customers(_dl(spark, sf)[1].customer_orders)
+
+
+@register("A03_delivered_by_runner")
+def _a03(spark, sf):
+    return D.delivered_by_runner(_dl(spark, sf)[1].runner_orders)
+
+
+@register("A04_delivered_by_type")
+def _a04(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.delivered_by_type(_coc(t, d), d.runner_orders)
+
+
+@register("A05_type_by_customer")
+def _a05(spark, sf):
+    return D.type_by_customer(_dl(spark, sf)[1].customer_orders, ["A", "N", "R"], col="flag")
+
+
+@register("A06_max_in_order")
+def _a06(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.max_in_order(_coc(t, d))
+
+
+@register("A07_changes_by_customer")
+def _a07(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.changes_by_customer(_coc(t, d))
+
+
+@register("A08_both_changes")
+def _a08(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.both_changes(_coc(t, d))
+
+
+def _purchases(spark, sf):
+    return load_tables(spark, sf).events.filter(F.col("event_type") == "purchase").select("user_id", "ts")
+
+
+@register("A09_by_hour")
+def _a09(spark, sf):
+    return D.by_hour(_purchases(spark, sf), "ts")
+
+
+@register("A10_by_weekday")
+def _a10(spark, sf):
+    return D.by_weekday(_purchases(spark, sf), "ts")
+
+
+# B. runner and customer experience
+@register("B01_signups_by_week")
+def _b01(spark, sf):
+    ev = load_tables(spark, sf).events.filter(F.col("event_type") == "signup")
+    return D.signups_by_week(ev, "ts")
+
+
+@register("B01_order_weeks")
+def _b01b(spark, sf):
+    return D.signups_by_week(load_tables(spark, sf).orders, "o_orderdate")
+
+
+@register("B02_avg_pickup")
+def _b02(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.avg_pickup(d.runner_orders, d.customer_orders)
+
+
+@register("B02_avg_pickup_per_order")
+def _b02b(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.avg_pickup(d.runner_orders, d.customer_orders, per="order")
+
+
+@register("B02_signup_to_purchase")
+def _b02c(spark, sf):
+    ev = load_tables(spark, sf).events
+    signups = ev.filter(F.col("event_type") == "signup").select("user_id", F.col("ts").alias("signup_ts"))
+    buys = ev.filter(F.col("event_type") == "purchase").select("user_id", "ts")
+    nxt = next_after(signups, buys, "user_id", "signup_ts", out="purchase_ts", right_ts="ts")
+    return nxt.select(
+        "user_id",
+        "signup_ts",
+        "purchase_ts",
+        minutes_between("signup_ts", "purchase_ts").alias("minutes_boundary"),
+        minutes_between("signup_ts", "purchase_ts", "elapsed").cast("bigint").alias("minutes_elapsed"),
+    )
+
+
+@register("B03_prep_by_size")
+def _b03(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.prep_by_size(d.customer_orders, d.runner_orders)
+
+
+@register("B04_avg_distance")
+def _b04(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.avg_distance(d.customer_orders, d.runner_orders)
+
+
+@register("B05_duration_spread")
+def _b05(spark, sf):
+    return D.duration_spread(_dl(spark, sf)[1].runner_orders)
+
+
+@register("B06_speed")
+def _b06(spark, sf):
+    return D.speed(_dl(spark, sf)[1].runner_orders)
+
+
+@register("B07_delivery_rate")
+def _b07(spark, sf):
+    return D.delivery_rate(_dl(spark, sf)[1].runner_orders)
+
+
+# C. ingredients
+@register("I01_standard_ingredients")
+def _i01(spark, sf):
+    return I.standard_ingredients(_brand_recipes(load_tables(spark, sf)))
+
+
+@register("I02_top_extra")
+def _i02(spark, sf):
+    return I.top_items(_dl(spark, sf)[1].extras)
+
+
+@register("I03_top_exclusion")
+def _i03(spark, sf):
+    return I.top_items(_dl(spark, sf)[1].exclusions)
+
+
+@register("I04_order_label")
+def _i04(spark, sf):
+    t, d = _dl(spark, sf)
+    out = I.order_label(d.records, d.exclusions, d.extras, unmodified=None, modified=None)
+    return out.select("record_id", "pizza_name", "order_details")
+
+
+@register("I05_ingredient_list")
+def _i05(spark, sf):
+    t, d = _dl(spark, sf)
+    return I.ingredient_list(_qty(d), d.records)
+
+
+@register("I06_ingredient_totals")
+def _i06(spark, sf):
+    t, d = _dl(spark, sf)
+    return I.ingredient_totals(_qty(d))
+
+
+@register("I06_ingredient_totals_delivered")
+def _i06b(spark, sf):
+    t, d = _dl(spark, sf)
+    return I.ingredient_totals(_qty(d), d.records, delivered_only=True)
+
+
+# D. pricing
+_PRICES = {A.DOUBLE_POINT_TYPE: 12}
+
+
+@register("E01_revenue")
+def _e01(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.revenue(_coc(t, d), _PRICES, 10)
+
+
+@register("E02_revenue_with_extras")
+def _e02(spark, sf):
+    t, d = _dl(spark, sf)
+    has_extra = F.col("extras").isNotNull()
+    premium = has_extra & (F.col("flag") == "A")
+    return D.revenue_with_extras(_coc(t, d), _PRICES, 10, premium, has_extra)
+
+
+@register("E05_profit")
+def _e05(spark, sf):
+    t, d = _dl(spark, sf)
+    return D.profit(_coc(t, d), d.runner_orders, _PRICES, col="pizza_name", default=10)

@@ -66,10 +66,10 @@ class Delivery:
     customer_orders: DataFrame  # one row per pizza (order line)
     runner_orders: DataFrame  # one row per order
     pizza_names: DataFrame
-    records: DataFrame  # one row per order record: record_id, pizza_name, delivered
+    records: DataFrame  # one row per order record: record_id, pizza_name, delivered, exclusions, extras
     standard: DataFrame  # (record_id, item): distinct item types of the record
-    extras: DataFrame  # (record_id, item) per 'A' line
-    exclusions: DataFrame  # (record_id, item) per 'R' line
+    extras: DataFrame  # (record_id, pos, item) per 'A' line
+    exclusions: DataFrame  # (record_id, pos, item) per 'R' line
 
 
 def customer_orders(t: Tables) -> DataFrame:
@@ -86,6 +86,7 @@ def customer_orders(t: Tables) -> DataFrame:
         F.when(F.col("l_tax") != 0, F.col("l_tax")).alias("extras"),
         F.col("o_orderdate").alias("order_time"),
         F.col("l_returnflag").alias("flag"),
+        F.col("l_linenumber").alias("line"),
     )
 
 
@@ -116,20 +117,28 @@ def pizza_names(t: Tables) -> DataFrame:
 
 
 def delivery(t: Tables) -> Delivery:
+    """Order records for the ingredient answers: an order's item types are its standard
+    recipe, its returned-flag 'A' lines add extras, its 'R' lines exclude their type."""
     co = customer_orders(t)
     typed = enrich(co, pizza_names(t), "pizza_id", ["pizza_name"])
-    lines = typed.select(F.col("order_id").alias("record_id"), F.col("pizza_name").alias("item"), "flag")
+    lines = typed.select(
+        F.col("order_id").alias("record_id"), F.col("pizza_name").alias("item"), "flag", F.col("line").alias("pos")
+    )
+    flags = lines.groupBy("record_id").agg(
+        F.max(F.when(F.col("flag") == "R", F.lit(1))).alias("exclusions"),
+        F.max(F.when(F.col("flag") == "A", F.lit(1))).alias("extras"),
+    )
     records = t.orders.select(
         F.col("o_orderkey").alias("record_id"),
         F.col("o_orderpriority").alias("pizza_name"),
         (F.col("o_orderstatus") != CANCELLED_STATUS).alias("delivered"),
-    ).join(lines.select("record_id"), "record_id", "left_semi")
+    ).join(flags, "record_id", "inner")
     return Delivery(
         customer_orders=co,
         runner_orders=runner_orders(t),
         pizza_names=pizza_names(t),
         records=records,
         standard=lines.select("record_id", "item").distinct(),
-        extras=lines.filter(F.col("flag") == "A").select("record_id", "item"),
-        exclusions=lines.filter(F.col("flag") == "R").select("record_id", "item"),
+        extras=lines.filter(F.col("flag") == "A").select("record_id", "pos", "item"),
+        exclusions=lines.filter(F.col("flag") == "R").select("record_id", "pos", "item"),
     )
