@@ -13,22 +13,32 @@ def _second_of_minute_micros(ts: Column) -> Column:
     return (F.date_part(F.lit("SECOND"), ts) * F.lit(1_000_000)).cast("bigint")
 
 
+def _minute_of_day(ts: Column) -> Column:
+    return F.hour(ts) * 60 + F.minute(ts)
+
+
 def minutes_between(start: str | Column, end: str | Column, mode: str = "boundary") -> Column:
-    """Minutes from ``start`` to ``end``.
+    """Minutes from ``start`` to ``end`` on the wall clock.
 
     ``boundary`` counts minute boundaries crossed (13:23:46 -> 13:53:03 is 30), the rule a
-    ``datediff(minute, …)`` uses; ``elapsed`` counts whole elapsed minutes (29). Works on
-    TIMESTAMP and TIMESTAMP_NTZ without going through the session time zone.
+    ``datediff(minute, …)`` uses; ``elapsed`` counts whole elapsed minutes, truncated
+    toward zero (29). Built from calendar fields with integer arithmetic only, so a
+    TIMESTAMP_NTZ never passes through the session time zone (no DST shifts).
     """
     a, b = as_col(start), as_col(end)
-    micros = F.timestamp_diff("MICROSECOND", a, b)
-    if mode == "elapsed":
-        return F.timestamp_diff("MINUTE", a, b)
-    if mode != "boundary":
+    boundary = F.datediff(F.to_date(b), F.to_date(a)).cast("bigint") * 1440 + _minute_of_day(b) - _minute_of_day(a)
+    if mode == "boundary":
+        return boundary
+    if mode != "elapsed":
         raise ValueError(f"mode must be 'boundary' or 'elapsed', got {mode!r}")
-    # (b - a) + (a - floor_minute(a)) - (b - floor_minute(b)) is a whole number of minutes.
-    aligned = micros + _second_of_minute_micros(a) - _second_of_minute_micros(b)
-    return (aligned / F.lit(60_000_000)).cast("bigint")
+    micros = boundary * 60_000_000 + _second_of_minute_micros(b) - _second_of_minute_micros(a)
+    whole = _floor_div(F.abs(micros), 60_000_000)
+    return F.when(micros < 0, -whole).otherwise(whole)
+
+
+def _floor_div(n: Column, d: int) -> Column:
+    # n - pmod(n, d) is an exact multiple of d, so the quotient is an exact integer.
+    return ((n - F.pmod(n, F.lit(d))) / F.lit(d)).cast("bigint")
 
 
 def monday_week_of_year(d: str | Column) -> Column:
