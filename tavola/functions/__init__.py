@@ -3,6 +3,7 @@
 from tavola.functions.clean import (
     is_numeric,
     nullify_sentinels,
+    numeric_cast,
     strip_units,
     to_decimal,
     to_int,
@@ -18,6 +19,7 @@ __all__ = [
     "minutes_between",
     "monday_week_of_year",
     "nullify_sentinels",
+    "numeric_cast",
     "ordered_join",
     "round_ratio",
     "strip_units",

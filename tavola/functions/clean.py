@@ -60,16 +60,32 @@ def strip_units(c: str | Column, units: Sequence[str], position: str = "suffix")
     return F.when(col.rlike(pattern), F.regexp_extract(col, pattern, 1)).otherwise(col)
 
 
+_INTEGRAL = {"int", "integer", "bigint", "long", "smallint", "short", "tinyint", "byte"}
+_INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+_DEC_TEXT = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def numeric_cast(c: str | Column, type_name: str) -> Column:
+    """Text to a numeric type; text that is not a number (or overflows) becomes NULL.
+
+    A failed cast is expensive (an error raised and caught per row), so the text is
+    matched against a number pattern first and only candidates are cast.
+    """
+    col = as_col(c)
+    pattern = _INT_TEXT if type_name.lower() in _INTEGRAL else _DEC_TEXT
+    return F.when(col.rlike(pattern), F.trim(col).try_cast(type_name))
+
+
 def to_decimal(c: str | Column, precision: int = 10, scale: int = 2) -> Column:
     """Text to DECIMAL; non-numeric or out-of-range text becomes NULL instead of failing."""
-    return F.trim(as_col(c)).try_cast(f"decimal({precision},{scale})")
+    return numeric_cast(c, f"decimal({precision},{scale})")
 
 
 def to_int(c: str | Column) -> Column:
     """Text to INT with a numeric guard (non-numeric text becomes NULL)."""
-    return F.trim(as_col(c)).try_cast("int")
+    return numeric_cast(c, "int")
 
 
 def is_numeric(c: str | Column, type_name: str = "decimal(38,10)") -> Column:
     """True when the text parses as a number of ``type_name`` (no currency-sign quirks)."""
-    return F.trim(as_col(c)).try_cast(type_name).isNotNull()
+    return numeric_cast(c, type_name).isNotNull()

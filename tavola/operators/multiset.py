@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,19 +18,63 @@ def adjust(
     exclusions: DataFrame,
     key: str | Sequence[str],
     item: str = "item",
+    standard_is_set: bool = False,
 ) -> DataFrame:
     """(key..., item, qty): multiplicity of each item after adding extras and removing exclusions.
 
-    Each input holds one row per occurrence (key..., item). The union is aggregated per
-    (key, item) — a map-side-combined aggregate — and excluded pairs are removed with an
-    anti join on the same keys, so the aggregate's partitioning is reused.
+    Each input holds one row per occurrence (key..., item). The three are tagged and
+    unioned, then reduced by ``adjust_tagged`` in a single aggregate.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = keys + [item]
-    rows = standard.select(*cols).unionByName(extras.select(*cols))
-    counted = rows.filter(F.col(item).isNotNull()).groupBy(*cols).agg(F.count(F.lit(1)).alias("qty"))
-    removed = exclusions.select(*cols).filter(F.col(item).isNotNull()).distinct()
-    return counted.join(removed, cols, "left_anti")
+
+    def tag(df: DataFrame, s: int, e: int, x: int) -> DataFrame:
+        return df.select(*cols, F.lit(s).alias("__std"), F.lit(e).alias("__ext"), F.lit(x).alias("__exc"))
+
+    rows = tag(standard, 1, 0, 0).unionByName(tag(extras, 0, 1, 0)).unionByName(tag(exclusions, 0, 0, 1))
+    return adjust_tagged(rows, keys, item, "__std", "__ext", "__exc", standard_is_set)
+
+
+def adjust_tagged(
+    rows: DataFrame,
+    key: str | Sequence[str],
+    item: str,
+    is_standard: str | Column,
+    is_extra: str | Column,
+    is_exclusion: str | Column,
+    standard_is_set: bool = False,
+) -> DataFrame:
+    """The multiset edit from one table of tagged occurrence rows, in one aggregate.
+
+    Per (key, item): standard copies (or 1 when the standard recipe is a set) plus
+    extras, dropped entirely when any exclusion row names the item. A map-side
+    combined aggregate on (key, item): one shuffle, and a hot record collapses to its
+    distinct items before it moves.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    flag = lambda c: (F.col(c) if isinstance(c, str) else c).cast("int")
+    std = F.max(flag(is_standard)) if standard_is_set else F.sum(flag(is_standard))
+    g = (
+        rows.filter(F.col(item).isNotNull())
+        .groupBy(*keys, item)
+        .agg(std.alias("__s"), F.sum(flag(is_extra)).alias("__e"), F.max(flag(is_exclusion)).alias("__x"))
+    )
+    qty = (F.col("__s") + F.col("__e")).cast("bigint")
+    return g.filter((F.col("__x") == 0) & (qty > 0)).select(*keys, item, qty.alias("qty"))
+
+
+def copies_list(
+    qty: DataFrame, key: str | Sequence[str], item: str = "item", count: str = "qty", sep: str = ",", out: str = "items"
+) -> DataFrame:
+    """One string per key listing every copy of every item, sorted case-insensitively.
+
+    Copies are expanded inside the collected (bounded, per-record) array, not as rows.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    entry = F.struct(F.lower(F.col(item)).alias("k"), F.col(item).alias("i"), F.col(count).cast("int").alias("n"))
+    sorted_entries = F.array_sort(F.collect_list(entry))
+    copies = F.flatten(F.transform(sorted_entries, lambda e: F.array_repeat(e["i"], e["n"])))
+    return qty.groupBy(*keys).agg(F.array_join(copies, sep).alias(out))
 
 
 def format_list(

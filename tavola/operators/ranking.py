@@ -23,14 +23,17 @@ def keep_max_ties(df: DataFrame, measure: str, group: str | Sequence[str] = ())
     """Rows whose ``measure`` equals the maximum (per ``group``): TOP 1 WITH TIES.
 
     Global case: one-row aggregate joined back (a one-row side is safe to broadcast).
-    Grouped case: ``df`` is already aggregated, so a window over it is bounded.
+    Grouped case: per-group maxima by aggregate (combined map-side), semi-joined back on
+    (group, measure) — a group with very many rows is split by the join, not sorted in
+    one window task.
     """
     keys = _cols(group)
     if not keys:
         top = df.agg(F.max(measure).alias("__max"))
         return df.join(F.broadcast(top), F.col(measure) == F.col("__max"), "left_semi")
-    w = Window.partitionBy(*keys)
-    return df.withColumn("__max", F.max(measure).over(w)).filter(F.col(measure) == F.col("__max")).drop("__max")
+    tops = broadcast_if_small(df.groupBy(*keys).agg(F.max(measure).alias("__max")))
+    cond = [df[k] == tops[k] for k in keys] + [df[measure] == tops["__max"]]
+    return df.join(tops, cond, "left_semi")
 
 
 def top_one(df: DataFrame, order: Sequence[Column]) -> DataFrame:

@@ -30,6 +30,7 @@ from tavola.functions import (
 from tavola.operators import (
     broadcast_if_small,
     check_status,
+    copies_list,
     enrich,
     keep_max_ties,
     lookup_names,
@@ -219,8 +220,7 @@ def recipe_multiset_inputs(
 
 def adjusted_recipe(qty: DataFrame, records: DataFrame, key: Sequence[str] = ("record_id",), sep: str = ",") -> DataFrame:
     """(key..., pizza_name, adjust_full_recipe): every copy listed, sorted case-insensitively."""
-    copies = qty.select(*key, "item", F.explode(F.array_repeat(F.col("item"), F.col("qty").cast("int"))).alias("copy"))
-    lists = copies.groupBy(*key).agg(ordered_join("copy", sep, F.lower(F.col("copy"))).alias("adjust_full_recipe"))
+    lists = copies_list(qty, list(key), sep=sep, out="adjust_full_recipe")
     return records.select(*key, "pizza_name").join(lists, list(key), "inner")
 
 

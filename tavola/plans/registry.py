@@ -104,7 +104,7 @@ def _d12(spark, sf):
 from pyspark.sql import functions as F  # noqa: E402
 
 from tavola.functions import csv_part, minutes_between, to_money  # noqa: E402
-from tavola.operators import adjust, next_after  # noqa: E402
+from tavola.operators import next_after  # noqa: E402
 from tavola.plans import delivery as D  # noqa: E402
 from tavola.plans import ingredients as I  # noqa: E402
 
@@ -240,7 +240,7 @@ def _c15(spark, sf):
 
 
 def _qty(d):
-    return adjust(d.standard, d.extras.select("record_id", "item"), d.exclusions.select("record_id", "item"), "record_id", "item")
+    return d.qty
 
 
 @register("C16_adjusted_recipe")

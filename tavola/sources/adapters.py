@@ -6,12 +6,13 @@ grows with them. The same bindings are spelled out in SQL in ``tavola.plans.orac
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavola.operators import enrich
+from tavola.functions.clean import numeric_cast
+from tavola.operators import adjust_tagged, enrich
 from tavola.sources.testdata import Tables
 
 # Fixed values of the bindings (see README, "Binding to the scale tables").
@@ -46,7 +47,7 @@ def event_sales(t: Tables) -> DataFrame:
     return t.events.filter(F.col("event_type") == "purchase").select(
         F.col("user_id").alias("customer_id"),
         F.to_date("ts").alias("order_date"),
-        F.regexp_extract("props", r"([0-9]+)", 1).try_cast("bigint").alias("product_id"),
+        numeric_cast(F.regexp_extract("props", r"([0-9]+)", 1), "bigint").alias("product_id"),
         "ts",
         "event_id",
     )
@@ -61,15 +62,63 @@ def members(t: Tables, cutoff: str = MEMBER_CUTOFF) -> DataFrame:
 
 
 # ---------------------------------------------------------------- delivery
-@dataclass
 class Delivery:
-    customer_orders: DataFrame  # one row per pizza (order line)
-    runner_orders: DataFrame  # one row per order
-    pizza_names: DataFrame
-    records: DataFrame  # one row per order record: record_id, pizza_name, delivered, exclusions, extras
-    standard: DataFrame  # (record_id, item): distinct item types of the record
-    extras: DataFrame  # (record_id, pos, item) per 'A' line
-    exclusions: DataFrame  # (record_id, pos, item) per 'R' line
+    """Delivery-shaped tables over the scale tables, each built on first use."""
+
+    def __init__(self, t: Tables):
+        self.t = t
+
+    @cached_property
+    def customer_orders(self) -> DataFrame:  # one row per pizza (order line)
+        return customer_orders(self.t)
+
+    @cached_property
+    def runner_orders(self) -> DataFrame:  # one row per order
+        return runner_orders(self.t)
+
+    @cached_property
+    def pizza_names(self) -> DataFrame:
+        return pizza_names(self.t)
+
+    @cached_property
+    def _lines(self) -> DataFrame:
+        typed = enrich(self.customer_orders, self.pizza_names, "pizza_id", ["pizza_name"])
+        return typed.select(
+            F.col("order_id").alias("record_id"), F.col("pizza_name").alias("item"), "flag", F.col("line").alias("pos")
+        )
+
+    @cached_property
+    def records(self) -> DataFrame:
+        """One row per order record: record_id, pizza_name, delivered, exclusions, extras."""
+        flags = self._lines.groupBy("record_id").agg(
+            F.max(F.when(F.col("flag") == "R", F.lit(1))).alias("exclusions"),
+            F.max(F.when(F.col("flag") == "A", F.lit(1))).alias("extras"),
+        )
+        return self.t.orders.select(
+            F.col("o_orderkey").alias("record_id"),
+            F.col("o_orderpriority").alias("pizza_name"),
+            (F.col("o_orderstatus") != CANCELLED_STATUS).alias("delivered"),
+        ).join(flags, "record_id", "inner")
+
+    @cached_property
+    def qty(self) -> DataFrame:
+        """(record_id, item, qty) from one pass over the order lines: every line's type is
+        in the standard set, 'A' lines add a copy, an 'R' line removes the type."""
+        return adjust_tagged(
+            self._lines, "record_id", "item", F.lit(1), F.col("flag") == "A", F.col("flag") == "R", standard_is_set=True
+        )
+
+    @cached_property
+    def standard(self) -> DataFrame:  # (record_id, item): distinct item types of the record
+        return self._lines.select("record_id", "item").distinct()
+
+    @cached_property
+    def extras(self) -> DataFrame:  # (record_id, pos, item) per 'A' line
+        return self._lines.filter(F.col("flag") == "A").select("record_id", "pos", "item")
+
+    @cached_property
+    def exclusions(self) -> DataFrame:  # (record_id, pos, item) per 'R' line
+        return self._lines.filter(F.col("flag") == "R").select("record_id", "pos", "item")
 
 
 def customer_orders(t: Tables) -> DataFrame:
@@ -119,26 +168,4 @@ def pizza_names(t: Tables) -> DataFrame:
 def delivery(t: Tables) -> Delivery:
     """Order records for the ingredient answers: an order's item types are its standard
     recipe, its returned-flag 'A' lines add extras, its 'R' lines exclude their type."""
-    co = customer_orders(t)
-    typed = enrich(co, pizza_names(t), "pizza_id", ["pizza_name"])
-    lines = typed.select(
-        F.col("order_id").alias("record_id"), F.col("pizza_name").alias("item"), "flag", F.col("line").alias("pos")
-    )
-    flags = lines.groupBy("record_id").agg(
-        F.max(F.when(F.col("flag") == "R", F.lit(1))).alias("exclusions"),
-        F.max(F.when(F.col("flag") == "A", F.lit(1))).alias("extras"),
-    )
-    records = t.orders.select(
-        F.col("o_orderkey").alias("record_id"),
-        F.col("o_orderpriority").alias("pizza_name"),
-        (F.col("o_orderstatus") != CANCELLED_STATUS).alias("delivered"),
-    ).join(flags, "record_id", "inner")
-    return Delivery(
-        customer_orders=co,
-        runner_orders=runner_orders(t),
-        pizza_names=pizza_names(t),
-        records=records,
-        standard=lines.select("record_id", "item").distinct(),
-        extras=lines.filter(F.col("flag") == "A").select("record_id", "pos", "item"),
-        exclusions=lines.filter(F.col("flag") == "R").select("record_id", "pos", "item"),
-    )
+    return Delivery(t)

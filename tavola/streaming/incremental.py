@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tavola.functions.clean import numeric_cast
 from tavola.session import ensure_checkpoint_dir
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -31,7 +32,7 @@ def event_sales_stream(spark: SparkSession, events_path: str, max_files_per_trig
     return events.filter(F.col("event_type") == "purchase").select(
         F.col("user_id").alias("customer_id"),
         F.to_date("ts").alias("order_date"),
-        F.regexp_extract("props", r"([0-9]+)", 1).try_cast("bigint").alias("product_id"),
+        numeric_cast(F.regexp_extract("props", r"([0-9]+)", 1), "bigint").alias("product_id"),
     )
 
 
