@@ -53,6 +53,38 @@ def _pick(col: F.Column, mapping: Mapping[str, str] | None, default: str) -> F.C
     return expr
 
 
+def ordered_items(when: F.Column, item: str = "item", pos: str = "pos", sep: str = ", ") -> F.Column:
+    """Aggregate: ``sep``-joined items of the rows matching ``when``, in (pos, item) order;
+    NULL when no row matches (like a string aggregate over no rows)."""
+    entries = F.array_sort(F.collect_list(F.when(when, F.struct(F.col(pos).alias("p"), F.col(item).alias("i")))))
+    return F.when(F.size(entries) > 0, F.array_join(F.transform(entries, lambda e: e["i"]), sep))
+
+
+def label_sentence(
+    name: F.Column,
+    has_exclusions: F.Column,
+    has_extras: F.Column,
+    exclusion_list: F.Column,
+    extra_list: F.Column,
+    unmodified: Mapping[str, str] | None = LABEL_UNMODIFIED,
+    modified: Mapping[str, str] | None = LABEL_MODIFIED,
+    modified_default: str = LABEL_MODIFIED_DEFAULT,
+    unmodified_default: str = LABEL_UNMODIFIED_DEFAULT,
+) -> F.Column:
+    """'Meat Lovers with exclude A, B and extras C' — NULL-propagating concatenation, so a
+    present list that resolved to no name gives 'Unknown modification'."""
+    sentence = F.concat(
+        _pick(name, modified, modified_default),
+        F.lit(" with "),
+        F.when(has_exclusions, F.concat(F.lit("exclude "), exclusion_list)).otherwise(F.lit("")),
+        F.when(has_exclusions & has_extras, F.lit(" and ")).otherwise(F.lit("")),
+        F.when(has_extras, F.concat(F.lit("extras "), extra_list)).otherwise(F.lit("")),
+    )
+    return F.when(~has_exclusions & ~has_extras, _pick(name, unmodified, unmodified_default)).otherwise(
+        F.coalesce(sentence, F.lit(LABEL_UNKNOWN))
+    )
+
+
 def order_label(
     rows: DataFrame,
     exclusion_items: DataFrame,
@@ -60,34 +92,28 @@ def order_label(
     key: Sequence[str] = ("record_id",),
     has_exclusions: str = "exclusions",
     has_extras: str = "extras",
-    unmodified: Mapping[str, str] | None = LABEL_UNMODIFIED,
-    modified: Mapping[str, str] | None = LABEL_MODIFIED,
-    modified_default: str = LABEL_MODIFIED_DEFAULT,
-    unmodified_default: str = LABEL_UNMODIFIED_DEFAULT,
+    **labels,
 ) -> DataFrame:
-    """``rows`` plus ``order_details``: 'Meat Lovers with exclude A, B and extras C'.
+    """``rows`` plus ``order_details``.
 
-    ``*_items`` are (key..., pos, item) rows of resolved modifier names. A present list
-    that resolves to no name turns the whole sentence into 'Unknown modification'.
+    ``*_items`` are (key..., pos, item) rows of resolved modifier names; both lists come
+    from one aggregate over their tagged union, joined back to ``rows`` by key.
     """
     keys = list(key)
-
-    def lists(items: DataFrame, out: str) -> DataFrame:
-        order = F.struct(F.col("pos"), F.col("item"))
-        return items.groupBy(*keys).agg(ordered_join("item", ", ", order).alias(out))
-
-    joined = rows.join(lists(exclusion_items, "__excl"), keys, "left").join(lists(extra_items, "__ext"), keys, "left")
-    exc, ext = F.col(has_exclusions).isNotNull(), F.col(has_extras).isNotNull()
-    name = F.col("pizza_name")
-    sentence = F.concat(
-        _pick(name, modified, modified_default),
-        F.lit(" with "),
-        F.when(exc, F.concat(F.lit("exclude "), F.col("__excl"))).otherwise(F.lit("")),
-        F.when(exc & ext, F.lit(" and ")).otherwise(F.lit("")),
-        F.when(ext, F.concat(F.lit("extras "), F.col("__ext"))).otherwise(F.lit("")),
+    tagged = exclusion_items.select(*keys, "pos", "item", F.lit(True).alias("__x")).unionByName(
+        extra_items.select(*keys, "pos", "item", F.lit(False).alias("__x"))
     )
-    details = F.when(~exc & ~ext, _pick(name, unmodified, unmodified_default)).otherwise(
-        F.coalesce(sentence, F.lit(LABEL_UNKNOWN))
+    lists = tagged.groupBy(*keys).agg(
+        ordered_items(F.col("__x")).alias("__excl"), ordered_items(~F.col("__x")).alias("__ext")
+    )
+    joined = rows.join(lists, keys, "left")
+    details = label_sentence(
+        F.col("pizza_name"),
+        F.col(has_exclusions).isNotNull(),
+        F.col(has_extras).isNotNull(),
+        F.col("__excl"),
+        F.col("__ext"),
+        **labels,
     )
     return joined.withColumn("order_details", details).drop("__excl", "__ext")
 

@@ -428,8 +428,17 @@ def _i03(spark, sf):
 @register("I04_order_label")
 def _i04(spark, sf):
     t, d = _dl(spark, sf)
-    out = I.order_label(d.records, d.exclusions, d.extras, unmodified=None, modified=None)
-    return out.select("record_id", "pizza_name", "order_details")
+    rows = d.records.join(d.modifiers, "record_id", "inner")
+    details = I.label_sentence(
+        F.col("pizza_name"),
+        F.col("exclusions").isNotNull(),
+        F.col("extras").isNotNull(),
+        F.col("exclusion_list"),
+        F.col("extra_list"),
+        unmodified=None,
+        modified=None,
+    )
+    return rows.select("record_id", "pizza_name", details.alias("order_details"))
 
 
 @register("I05_ingredient_list")

@@ -89,16 +89,26 @@ class Delivery:
 
     @cached_property
     def records(self) -> DataFrame:
-        """One row per order record: record_id, pizza_name, delivered, exclusions, extras."""
-        flags = self._lines.groupBy("record_id").agg(
-            F.max(F.when(F.col("flag") == "R", F.lit(1))).alias("exclusions"),
-            F.max(F.when(F.col("flag") == "A", F.lit(1))).alias("extras"),
-        )
+        """One row per order: record_id, pizza_name (the priority label), delivered."""
         return self.t.orders.select(
             F.col("o_orderkey").alias("record_id"),
             F.col("o_orderpriority").alias("pizza_name"),
             (F.col("o_orderstatus") != CANCELLED_STATUS).alias("delivered"),
-        ).join(flags, "record_id", "inner")
+        )
+
+    @cached_property
+    def modifiers(self) -> DataFrame:
+        """Per order with lines, in one pass over the lines: whether it has 'R' / 'A' lines
+        and their item lists in line order."""
+        from tavola.plans.ingredients import ordered_items
+
+        is_r, is_a = F.col("flag") == "R", F.col("flag") == "A"
+        return self._lines.groupBy("record_id").agg(
+            F.max(F.when(is_r, F.lit(1))).alias("exclusions"),
+            F.max(F.when(is_a, F.lit(1))).alias("extras"),
+            ordered_items(is_r & F.col("item").isNotNull()).alias("exclusion_list"),
+            ordered_items(is_a & F.col("item").isNotNull()).alias("extra_list"),
+        )
 
     @cached_property
     def qty(self) -> DataFrame:
