@@ -7,18 +7,47 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tavola.operators.joins import broadcast_if_small
 
-def with_record_seq(df: DataFrame, key: Sequence[str], out: str = "record_seq") -> DataFrame:
-    """Add ``out`` so that (key..., out) is unique.
+# A key with more rows than this is numbered in hash buckets of about this many rows.
+HOT_KEY_ROWS = 1_000_000
 
-    Numbered 1..n inside each key, ordered by all other columns: the window is
-    partitioned by the key (small groups) instead of one global ordering that would send
-    every row to one task; rows tied on every column are interchangeable, so the
-    multiset of ids is deterministic.
+
+def with_record_seq(
+    df: DataFrame, key: Sequence[str], out: str = "record_seq", hot_rows: int = HOT_KEY_ROWS
+) -> DataFrame:
+    """Add ``out`` = 1..n inside each key, so that (key..., out) is unique and dense.
+
+    Ordinary keys are numbered by a window partitioned by the key and ordered by all
+    other columns. A key with more than ``hot_rows`` rows is split deterministically
+    into hash buckets of about ``hot_rows`` rows; rows are numbered inside
+    (key, bucket) and shifted by the sizes of the key's earlier buckets, so no task
+    sorts more than a bucket. Rows tied on every column are interchangeable, so the
+    multiset of ids is deterministic either way.
     """
-    rest = [c for c in df.columns if c not in key]
-    w = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_first() for c in rest])
-    return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    keys = list(key)
+    rest = [c for c in df.columns if c not in keys]
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = sizes.filter(F.col("__n") > hot_rows).select(
+        *keys, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__buckets")
+    )
+    # At most (rows / hot_rows) hot keys exist, so this side has a proven size bound.
+    tagged = df.join(broadcast_if_small(hot), keys, "left")
+    row_hash = F.xxhash64(*[F.col(c) for c in rest]) if rest else F.lit(0)
+    bucket = F.when(F.col("__buckets").isNotNull(), F.pmod(row_hash, F.col("__buckets"))).otherwise(F.lit(0))
+    tagged = tagged.withColumn("__bucket", bucket.cast("int")).drop("__buckets")
+
+    w = Window.partitionBy(*keys, "__bucket").orderBy(*[F.col(c).asc_nulls_first() for c in rest])
+    local = tagged.withColumn("__local", F.row_number().over(w))
+
+    hot_rows_only = tagged.join(broadcast_if_small(hot.select(*keys)), keys, "left_semi")
+    counts = hot_rows_only.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0))).drop("__c")
+
+    numbered = local.join(broadcast_if_small(offsets), [*keys, "__bucket"], "left")
+    seq = (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).cast("bigint")
+    return numbered.select(*df.columns, seq.alias(out))
 
 
 def with_dense_record_id(df: DataFrame, order: Sequence[str], out: str = "record_id") -> DataFrame:
