@@ -295,10 +295,15 @@ def delivered_by_runner(ro_raw: DataFrame) -> DataFrame:
 
 # A04
 def delivered_by_type(co: DataFrame, ro_clean: DataFrame) -> DataFrame:
-    """Left join: pizzas whose order has no runner row count as delivered too."""
+    """Left join: pizzas whose order has no runner row count as delivered too.
+
+    Pizzas are counted per (order, name) before the join, so the join sees one row per
+    order and name instead of one per pizza.
+    """
     runs = ro_clean.select("order_id", F.col("cancellation").alias("__c"))
-    rows = co.select("order_id", "pizza_name").join(runs, "order_id", "left").filter(F.col("__c").isNull())
-    return rows.groupBy("pizza_name").agg(F.count("pizza_name").alias("total"))
+    per_order = co.groupBy("order_id", "pizza_name").agg(F.count("pizza_name").alias("__n"))
+    rows = per_order.join(runs, "order_id", "left").filter(F.col("__c").isNull())
+    return rows.groupBy("pizza_name").agg(F.sum("__n").cast("bigint").alias("total"))
 
 
 # A05
@@ -360,15 +365,19 @@ def avg_pickup(ro_clean: DataFrame, co: DataFrame, per: str = "pizza") -> DataFr
     """Mean |minutes| from order to pickup per runner, 2 dp.
 
     ``per='pizza'`` weights each order by its pizza rows (the literal join);
-    ``per='order'`` counts each order once.
+    ``per='order'`` counts each order once. Pizzas are counted per (order, order time)
+    before the join, so the join sees one row per order.
     """
-    pizzas = co.select("order_id", as_timestamp("order_time").alias("order_time"))
+    pizzas = co.groupBy("order_id", as_timestamp("order_time").alias("order_time")).agg(F.count(F.lit(1)).alias("__n"))
     if per == "order":
-        pizzas = pizzas.groupBy("order_id").agg(F.min("order_time").alias("order_time"))
+        pizzas = pizzas.groupBy("order_id").agg(F.min("order_time").alias("order_time"), F.lit(1).alias("__n"))
     runs = ro_clean.select("order_id", "runner_id", as_timestamp("pickup_time").alias("pickup_time"))
     rows = runs.filter(F.col("pickup_time").isNotNull()).join(pizzas, "order_id", "left")
     mins = F.abs(minutes_between("order_time", "pickup_time"))
-    return rows.groupBy("runner_id").agg(round_ratio(F.sum(mins), F.count(mins), 2).alias("average_pickup_time"))
+    weight = F.when(mins.isNotNull(), F.col("__n"))
+    return rows.groupBy("runner_id").agg(
+        round_ratio(F.sum(mins * F.col("__n")), F.coalesce(F.sum(weight), F.lit(0)), 2).alias("average_pickup_time")
+    )
 
 
 # B03
@@ -385,10 +394,16 @@ def prep_by_size(co: DataFrame, ro_clean: DataFrame) -> DataFrame:
 
 # B04
 def avg_distance(co: DataFrame, ro_clean: DataFrame) -> DataFrame:
-    """Mean km per customer over pizza rows (multi-pizza orders weigh more), 2 dp."""
-    rows = co.select("order_id", "customer_id").join(ro_clean.select("order_id", "distance"), "order_id", "left")
-    num = F.sum((F.col("distance") * _SCALE).cast("decimal(38,0)"))
-    return rows.groupBy("customer_id").agg(round_ratio(num, F.count("distance") * _SCALE, 2).alias("avg_distance"))
+    """Mean km per customer over pizza rows (multi-pizza orders weigh more), 2 dp.
+
+    Pizzas are counted per (order, customer) first; each order's distance is then
+    weighted by its pizza count, which equals averaging over the pizza rows.
+    """
+    per_order = co.groupBy("order_id", "customer_id").agg(F.count(F.lit(1)).alias("__n"))
+    rows = per_order.join(ro_clean.select("order_id", "distance"), "order_id", "left")
+    num = F.sum((F.col("distance") * _SCALE).cast("decimal(38,0)") * F.col("__n"))
+    den = F.coalesce(F.sum(F.when(F.col("distance").isNotNull(), F.col("__n"))), F.lit(0)) * _SCALE
+    return rows.groupBy("customer_id").agg(round_ratio(num, den, 2).alias("avg_distance"))
 
 
 # B05

@@ -23,7 +23,7 @@ _LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.driver.memory": "8g",
+    "spark.driver.memory": os.environ.get("TAVOLA_DRIVER_MEMORY", "4g"),
 }
 
 
