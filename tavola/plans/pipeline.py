@@ -55,3 +55,25 @@ def clean(raw: DeliveryRaw, key: Sequence[str] = ("record_id",)) -> DeliveryClea
     qty = adjust(standard, extras.select(*keys, "item"), exclusions.select(*keys, "item"), keys, "item")
     records = co.select(*keys, "pizza_name", F.col("cancellation").isNull().alias("delivered"))
     return DeliveryClean(ro, co, recipe_named, toppings, orders, records, extras, exclusions, qty)
+
+
+# Tables of the cleaning chain and the names they are written under.
+CLEAN_TABLES = ("runner_orders", "customer_orders", "recipe_named", "toppings", "orders", "qty")
+
+
+def write_clean(clean_tables: DeliveryClean, root: str, mode: str = "overwrite") -> dict[str, str]:
+    """Materialise the cleaned tables as parquet under ``root`` (a shared folder on a cluster).
+
+    The written tables cut lineage: answers that read them back start from the files,
+    so a lost executor recomputes from there, not from the raw feeds.
+    """
+    paths = {}
+    for name in CLEAN_TABLES:
+        path = f"{root.rstrip('/')}/{name}"
+        getattr(clean_tables, name).write.mode(mode).parquet(path)
+        paths[name] = path
+    return paths
+
+
+def read_clean(spark, paths: dict[str, str]) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(path) for name, path in paths.items()}

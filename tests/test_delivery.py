@@ -142,3 +142,12 @@ def test_edge_units_and_sentinels(spark):
     assert float(out[3].distance) == 123.4
     sp = {r.order_id: r.speed_kmph for r in D.speed(D.clean_runner_orders(ro)).collect()}
     assert sp[3] is None  # zero duration
+
+
+def test_write_and_read_back_clean_tables(spark, c, tmp_path):
+    from tavola.plans.pipeline import read_clean, write_clean
+
+    paths = write_clean(c, str(tmp_path / "clean"))
+    back = read_clean(spark, paths)
+    assert back["customer_orders"].count() == 14 and back["runner_orders"].count() == 10
+    assert rows(D.runner_totals(back["runner_orders"])) == [(145.2, 184)]
