@@ -36,6 +36,9 @@ def get_spark(app: str = "tavola", master: str | None = None, **conf: str) -> Sp
     builder = builder.master(master or os.environ.get("TAVOLA_MASTER", "local[8]"))
     settings = dict(_LOCAL_DEFAULTS)
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
+    if "spark.sql.warehouse.dir" not in settings:
+        # local sessions only: catalog tables go to a scratch folder, not the working dir
+        settings["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="tavola-warehouse-")
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
