@@ -459,6 +459,13 @@ def _i06b(spark, sf):
     return I.ingredient_totals(_qty(d), d.records, delivered_only=True)
 
 
+@register("I06_ingredient_totals_halved")
+def _i06c(spark, sf):
+    """The literal count: every total halved with integer division, as over a table loaded twice."""
+    t, d = _dl(spark, sf)
+    return I.ingredient_totals(_qty(d), divisor=2)
+
+
 # D. pricing
 _PRICES = {A.DOUBLE_POINT_TYPE: 12}
 
