@@ -5,8 +5,8 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import SparkSession
-from pyspark.sql import types as T
 
+from tavola import schemas
 from tavola.plans.pipeline import DeliveryRaw
 
 D = dt.date
@@ -67,9 +67,9 @@ RATINGS = [
 
 
 def diner(spark: SparkSession):
-    sales = spark.createDataFrame(SALES, "customer_id string, order_date date, product_id int")
-    menu = spark.createDataFrame(MENU, "product_id int, product_name string, price int")
-    members = spark.createDataFrame(MEMBERS, "customer_id string, join_date date")
+    sales = spark.createDataFrame(SALES, schemas.SALES)
+    menu = spark.createDataFrame(MENU, schemas.MENU)
+    members = spark.createDataFrame(MEMBERS, schemas.MEMBERS)
     return sales, menu, members
 
 
@@ -80,19 +80,13 @@ def delivery_raw(spark: SparkSession, customer_orders=None, runner_orders=None)
         [(i + 1, *r) for i, r in enumerate(co_rows)],
         "record_id int, order_id int, customer_id int, pizza_id int, exclusions string, extras string, order_time string",
     )
-    ro = spark.createDataFrame(
-        runner_orders if runner_orders is not None else RUNNER_ORDERS,
-        "order_id int, runner_id int, pickup_time string, distance string, duration string, cancellation string",
-    )
+    ro = spark.createDataFrame(runner_orders if runner_orders is not None else RUNNER_ORDERS, schemas.RUNNER_ORDERS)
     return DeliveryRaw(
         customer_orders=co,
         runner_orders=ro,
-        pizza_names=spark.createDataFrame(PIZZA_NAMES, "pizza_id int, pizza_name string"),
-        pizza_recipes=spark.createDataFrame(PIZZA_RECIPES, "pizza_id int, toppings string"),
-        pizza_toppings=spark.createDataFrame(PIZZA_TOPPINGS, "topping_id int, topping_name string"),
-        runners=spark.createDataFrame(RUNNERS, "runner_id int, registration_date date"),
-        ratings=spark.createDataFrame(RATINGS, T.StructType([
-            T.StructField("order_id", T.IntegerType()), T.StructField("rating", T.IntegerType()),
-            T.StructField("comments", T.StringType()),
-        ])),
+        pizza_names=spark.createDataFrame(PIZZA_NAMES, schemas.PIZZA_NAMES),
+        pizza_recipes=spark.createDataFrame(PIZZA_RECIPES, schemas.PIZZA_RECIPES),
+        pizza_toppings=spark.createDataFrame(PIZZA_TOPPINGS, schemas.PIZZA_TOPPINGS),
+        runners=spark.createDataFrame(RUNNERS, schemas.RUNNERS),
+        ratings=spark.createDataFrame(RATINGS, schemas.RATINGS),
     )

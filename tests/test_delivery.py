@@ -151,3 +151,32 @@ def test_write_and_read_back_clean_tables(spark, c, tmp_path):
     back = read_clean(spark, paths)
     assert back["customer_orders"].count() == 14 and back["runner_orders"].count() == 10
     assert rows(D.runner_totals(back["runner_orders"])) == [(145.2, 184)]
+
+
+def test_edge_three_modifiers_and_unmatched_order(spark):
+    from tavola.plans import ingredients as I
+
+    rows_ = list(FX.CUSTOMER_ORDERS) + [(11, 106, 1, "2, 3, 6", "4, 5, 9", "2020-01-12 10:00:00")]
+    c2 = clean(FX.delivery_raw(spark, customer_orders=rows_))
+    o = {r.record_id: r for r in c2.orders.collect()}[15]
+    # lists longer than two: positional columns show the first two, nothing fails
+    assert (o.exclusion_1, o.exclusion_2, o.extra_1, o.extra_2) == (2, 3, 4, 5)
+    label = {r.record_id: r.order_details for r in I.order_label(c2.customer_orders, c2.exclusions, c2.extras).collect()}
+    assert label[15] == "Meat Lovers with exclude BBQ Sauce, Beef, Mushrooms and extras Cheese, Chicken, Peppers"
+    lst = {r.record_id: r.list_order for r in I.ingredient_list(c2.qty, c2.records).collect()}
+    assert lst[15] == "Meatlovers: Bacon, 2xCheese, 2xChicken, Pepperoni, Peppers, Salami"
+    # order 11 has no runner row: the left join keeps it as delivered (T16)
+    assert dict(rows(D.delivered_by_type(c2.customer_orders, c2.runner_orders))) == {"Meatlovers": 10, "Vegetarian": 3}
+
+
+def test_property_totals_and_flags(spark, raw, c):
+    from tavola.plans import diner
+
+    s, m, mem = FX.diner(spark)
+    per_customer = sum(r.total_spent for r in diner.total_spend(s, m).collect())
+    assert per_customer == sum({1: 10, 2: 15, 3: 12}[p] for _, _, p in FX.SALES)
+    flags = diner.member_flag(s, m, mem)
+    assert flags.count() == s.count()  # Y/N flags partition the sales
+    # explode -> aggregate round trip: modifier rows regroup to the same ids
+    back = D.explode_modifier(c.customer_orders, "extras").groupBy("record_id").agg(F.count("*").alias("n"))
+    assert dict(rows(back)) == {8: 1, 10: 1, 12: 2, 14: 2}
