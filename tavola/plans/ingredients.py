@@ -53,11 +53,34 @@ def _pick(col: F.Column, mapping: Mapping[str, str] | None, default: str) -> F.C
     return expr
 
 
-def ordered_items(when: F.Column, item: str = "item", pos: str = "pos", sep: str = ", ") -> F.Column:
-    """Aggregate: ``sep``-joined items of the rows matching ``when``, in (pos, item) order;
-    NULL when no row matches (like a string aggregate over no rows)."""
-    entries = F.array_sort(F.collect_list(F.when(when, F.struct(F.col(pos).alias("p"), F.col(item).alias("i")))))
-    return F.when(F.size(entries) > 0, F.array_join(F.transform(entries, lambda e: e["i"]), sep))
+def item_lists(
+    items: DataFrame,
+    key: Sequence[str],
+    kinds: Mapping[str, str],
+    kind: str = "kind",
+    item: str = "item",
+    pos: str = "pos",
+    sep: str = ", ",
+) -> DataFrame:
+    """(key..., <out> per kind): each kind's items as one string per key.
+
+    Items are first reduced to (key, kind, item) with their first position and count — a
+    map-side combined aggregate, so a record with very many modifier rows collapses to
+    its distinct items — then listed by (first position, name), each repeated as often
+    as it occurs. A kind with no rows gives NULL (a string aggregate over no rows).
+    """
+    keys = list(key)
+    per_item = items.filter(F.col(item).isNotNull()).groupBy(*keys, kind, item).agg(
+        F.min(pos).alias("__p"), F.count(F.lit(1)).alias("__n")
+    )
+
+    def listed(value: str) -> F.Column:
+        entry = F.struct(F.col("__p").alias("p"), F.col(item).alias("i"), F.col("__n").cast("int").alias("n"))
+        entries = F.array_sort(F.collect_list(F.when(F.col(kind) == F.lit(value), entry)))
+        names = F.flatten(F.transform(entries, lambda e: F.array_repeat(e["i"], e["n"])))
+        return F.when(F.size(entries) > 0, F.array_join(names, sep))
+
+    return per_item.groupBy(*keys).agg(*[listed(v).alias(out) for v, out in kinds.items()])
 
 
 def label_sentence(
@@ -100,12 +123,10 @@ def order_label(
     from one aggregate over their tagged union, joined back to ``rows`` by key.
     """
     keys = list(key)
-    tagged = exclusion_items.select(*keys, "pos", "item", F.lit(True).alias("__x")).unionByName(
-        extra_items.select(*keys, "pos", "item", F.lit(False).alias("__x"))
-    )
-    lists = tagged.groupBy(*keys).agg(
-        ordered_items(F.col("__x")).alias("__excl"), ordered_items(~F.col("__x")).alias("__ext")
+    tagged = exclusion_items.select(*keys, "pos", "item", F.lit("x").alias("kind")).unionByName(
+        extra_items.select(*keys, "pos", "item", F.lit("e").alias("kind"))
     )
+    lists = item_lists(tagged, keys, {"x": "__excl", "e": "__ext"})
     joined = rows.join(lists, keys, "left")
     details = label_sentence(
         F.col("pizza_name"),

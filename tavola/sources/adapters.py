@@ -98,17 +98,18 @@ class Delivery:
 
     @cached_property
     def modifiers(self) -> DataFrame:
-        """Per order with lines, in one pass over the lines: whether it has 'R' / 'A' lines
-        and their item lists in line order."""
-        from tavola.plans.ingredients import ordered_items
-
-        is_r, is_a = F.col("flag") == "R", F.col("flag") == "A"
-        return self._lines.groupBy("record_id").agg(
-            F.max(F.when(is_r, F.lit(1))).alias("exclusions"),
-            F.max(F.when(is_a, F.lit(1))).alias("extras"),
-            ordered_items(is_r & F.col("item").isNotNull()).alias("exclusion_list"),
-            ordered_items(is_a & F.col("item").isNotNull()).alias("extra_list"),
+        """Per order with lines: whether it has 'R' / 'A' lines, and their item lists."""
+        from tavola.plans.ingredients import item_lists
+
+        kinds = self._lines.select(
+            "record_id", "pos", "item", F.when(F.col("flag").isin("R", "A"), F.col("flag")).alias("kind")
+        )
+        flags = kinds.groupBy("record_id").agg(
+            F.max(F.when(F.col("kind") == "R", F.lit(1))).alias("exclusions"),
+            F.max(F.when(F.col("kind") == "A", F.lit(1))).alias("extras"),
         )
+        lists = item_lists(kinds.filter(F.col("kind").isNotNull()), ["record_id"], {"R": "exclusion_list", "A": "extra_list"})
+        return flags.join(lists, "record_id", "left")
 
     @cached_property
     def qty(self) -> DataFrame:
