@@ -5,7 +5,8 @@ equi-join on key with ``right.ts > left.ts`` emits all pairs of a key. Instead:
 
 1. Inside each (key, time bucket) the nearest later right instant comes from a running
    minimum over rows sorted by time descending — partitions are (key, bucket), so a hot
-   key is spread over its buckets.
+   key is spread over its buckets. Keys with more than ``hot_rows`` rows use the finer
+   ``hot_bucket`` granularity (one granularity per key, so step 2 stays exact).
 2. Rows with no later right instant in their own bucket take the earliest right instant
    of any later bucket: per (key, bucket) minima are tiny (one row per bucket), and a
    running minimum over them, per key, answers "earliest in a later bucket".
@@ -18,6 +19,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tavola.operators.joins import broadcast_if_small
+
+HOT_KEY_ROWS = 1_000_000
+
 
 def next_after(
     left: DataFrame,
@@ -27,17 +32,26 @@ def next_after(
     out: str = "next_ts",
     right_ts: str | None = None,
     bucket: str = "day",
+    hot_bucket: str = "minute",
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """``left`` plus ``out`` = min(right.ts) with right.ts > left.ts for the same key (or NULL)."""
     keys = [key] if isinstance(key, str) else list(key)
     rts = right_ts or ts
     side, bkt = "__side", "__bucket"
-    lrows = left.withColumn(side, F.lit(0)).withColumn(bkt, F.date_trunc(bucket, F.col(ts)))
-    rrows = (
-        right.select(*keys, F.col(rts).alias(ts))
-        .withColumn(side, F.lit(1))
-        .withColumn(bkt, F.date_trunc(bucket, F.col(ts)))
-    )
+    rsel = right.select(*keys, F.col(rts).alias(ts))
+    sizes = left.select(*keys).unionByName(rsel.select(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    # At most (rows / hot_rows) keys are hot, so this side has a proven size bound.
+    hot = broadcast_if_small(sizes.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot")))
+
+    def bucketed(df: DataFrame) -> DataFrame:
+        tagged = df.join(hot, keys, "left")
+        fine = F.coalesce(F.col("__hot"), F.lit(False))
+        b = F.when(fine, F.date_trunc(hot_bucket, F.col(ts))).otherwise(F.date_trunc(bucket, F.col(ts)))
+        return tagged.withColumn(bkt, b).drop("__hot")
+
+    lrows = bucketed(left.withColumn(side, F.lit(0)))
+    rrows = bucketed(rsel.withColumn(side, F.lit(1)))
     both = lrows.unionByName(rrows, allowMissingColumns=True)
 
     # 1. nearest later right instant inside the same (key, bucket).

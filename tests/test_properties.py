@@ -44,12 +44,15 @@ def test_next_after_equals_brute_force(spark, seed):
     right += [(k, t) for k, t in left[:10]]  # equal instants must not count as "after"
     L = spark.createDataFrame(left, "k int, ts timestamp_ntz")
     R = spark.createDataFrame(right, "k int, ts timestamp_ntz")
-    got = Counter((r.k, r.ts, r.next_ts) for r in next_after(L, R, "k", "ts").collect())
     want = Counter()
     for k, t in left:
         later = [u for kk, u in right if kk == k and u > t]
         want[(k, t, min(later) if later else None)] += 1
+    got = Counter((r.k, r.ts, r.next_ts) for r in next_after(L, R, "k", "ts").collect())
     assert got == want
+    # key 0 treated as hot: finer buckets for it, same answer
+    hot = Counter((r.k, r.ts, r.next_ts) for r in next_after(L, R, "k", "ts", hot_rows=50, hot_bucket="hour").collect())
+    assert hot == want
 
 
 @pytest.mark.parametrize("seed", [6, 7])
