@@ -82,10 +82,15 @@ class Delivery:
 
     @cached_property
     def _lines(self) -> DataFrame:
-        typed = enrich(self.customer_orders, self.pizza_names, "pizza_id", ["pizza_name"])
-        return typed.select(
-            F.col("order_id").alias("record_id"), F.col("pizza_name").alias("item"), "flag", F.col("line").alias("pos")
+        """(record_id, item, flag, pos) straight from the order lines and the part types."""
+        lines = self.t.lineitem.select(
+            F.col("l_orderkey").alias("record_id"),
+            F.col("l_partkey").alias("pizza_id"),
+            F.col("l_returnflag").alias("flag"),
+            F.col("l_linenumber").alias("pos"),
         )
+        typed = enrich(lines, self.pizza_names, "pizza_id", ["pizza_name"])
+        return typed.select("record_id", F.col("pizza_name").alias("item"), "flag", "pos")
 
     @cached_property
     def records(self) -> DataFrame:
@@ -101,15 +106,16 @@ class Delivery:
         """Per order with lines: whether it has 'R' / 'A' lines, and their item lists."""
         from tavola.plans.ingredients import item_lists
 
+        # every line takes part (other flags with kind NULL) so each order with lines appears
         kinds = self._lines.select(
             "record_id", "pos", "item", F.when(F.col("flag").isin("R", "A"), F.col("flag")).alias("kind")
         )
-        flags = kinds.groupBy("record_id").agg(
-            F.max(F.when(F.col("kind") == "R", F.lit(1))).alias("exclusions"),
-            F.max(F.when(F.col("kind") == "A", F.lit(1))).alias("extras"),
+        return item_lists(
+            kinds,
+            ["record_id"],
+            {"R": "exclusion_list", "A": "extra_list"},
+            flags={"R": "exclusions", "A": "extras"},
         )
-        lists = item_lists(kinds.filter(F.col("kind").isNotNull()), ["record_id"], {"R": "exclusion_list", "A": "extra_list"})
-        return flags.join(lists, "record_id", "left")
 
     @cached_property
     def qty(self) -> DataFrame:
