@@ -6,7 +6,7 @@ the item, extras included. Items are compared as values, never as substrings of
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,3 +104,38 @@ def format_list(
 def total_by_item(qty: DataFrame, item: str = "item", count: str = "qty", out: str = "total") -> DataFrame:
     """Total quantity of each item across all records."""
     return qty.groupBy(item).agg(F.sum(count).cast("bigint").alias(out))
+
+
+def item_lists(
+    items: DataFrame,
+    key: Sequence[str],
+    kinds: Mapping[str, str],
+    kind: str = "kind",
+    item: str = "item",
+    pos: str = "pos",
+    sep: str = ", ",
+    flags: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """(key..., <out> per kind): each kind's items as one string per key.
+
+    ``flags`` maps kind -> column set to 1 when the key has any row of that kind (NULL
+    otherwise), computed in the same aggregate.
+
+    Items are first reduced to (key, kind, item) with their first position and count — a
+    map-side combined aggregate, so a record with very many modifier rows collapses to
+    its distinct items — then listed by (first position, name), each repeated as often
+    as it occurs. A kind with no rows gives NULL (a string aggregate over no rows).
+    """
+    keys = list(key)
+    per_item = items.groupBy(*keys, kind, item).agg(F.min(pos).alias("__p"), F.count(F.lit(1)).alias("__n"))
+
+    def listed(value: str) -> Column:
+        entry = F.struct(F.col("__p").alias("p"), F.col(item).alias("i"), F.col("__n").cast("int").alias("n"))
+        hit = (F.col(kind) == F.lit(value)) & F.col(item).isNotNull()
+        entries = F.array_sort(F.collect_list(F.when(hit, entry)))
+        names = F.flatten(F.transform(entries, lambda e: F.array_repeat(e["i"], e["n"])))
+        return F.when(F.size(entries) > 0, F.array_join(names, sep))
+
+    aggs = [listed(v).alias(out) for v, out in kinds.items()]
+    aggs += [F.max(F.when(F.col(kind) == F.lit(v), F.lit(1))).alias(out) for v, out in (flags or {}).items()]
+    return per_item.groupBy(*keys).agg(*aggs)

@@ -32,7 +32,6 @@ from tavola.operators import (
     check_status,
     copies_list,
     enrich,
-    keep_max_ties,
     lookup_names,
     top_one,
     with_record_seq,

@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tavola.functions import csv_part, minutes_between, to_money
+from tavola.operators import next_after
+from tavola.plans import delivery as D
 from tavola.plans import diner
+from tavola.plans import ingredients as I
 from tavola.sources import adapters as A
 from tavola.sources.testdata import load_tables
 
@@ -101,12 +106,6 @@ def _d12(spark, sf):
 
 
 # ---------------------------------------------------------------- delivery
-from pyspark.sql import functions as F  # noqa: E402
-
-from tavola.functions import csv_part, minutes_between, to_money  # noqa: E402
-from tavola.operators import next_after  # noqa: E402
-from tavola.plans import delivery as D  # noqa: E402
-from tavola.plans import ingredients as I  # noqa: E402
 
 
 def _dl(spark, sf):

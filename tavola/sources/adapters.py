@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tavola.functions.clean import numeric_cast
-from tavola.operators import adjust_tagged, enrich
+from tavola.operators import adjust_tagged, enrich, item_lists
 from tavola.sources.testdata import Tables
 
 # Fixed values of the bindings (see README, "Binding to the scale tables").
@@ -104,8 +104,6 @@ class Delivery:
     @cached_property
     def modifiers(self) -> DataFrame:
         """Per order with lines: whether it has 'R' / 'A' lines, and their item lists."""
-        from tavola.plans.ingredients import item_lists
-
         # every line takes part (other flags with kind NULL) so each order with lines appears
         kinds = self._lines.select(
             "record_id", "pos", "item", F.when(F.col("flag").isin("R", "A"), F.col("flag")).alias("kind")

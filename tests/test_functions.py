@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tavola.functions import (
     csv_items,
     csv_part,
