@@ -64,16 +64,33 @@ def lookup_names(
     dim_id: str,
     dim_name: str,
     suffix: str = "_name",
+    key: Sequence[str] | None = None,
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``<id_col><suffix>`` for each id column by looking the id up in ``dim``.
 
-    One lookup table serves every column: with a small table each lookup is a broadcast
-    hash join (no shuffle); with a large one Spark falls back to shuffle joins.
+    Small lookup table: one broadcast hash join per column, no shuffle. Large one with a
+    row ``key`` given: the ids are stacked into (key, slot, id) rows, joined to the
+    lookup table once, and pivoted back per key — one shuffle of the lookup table instead
+    of one per column. Without a key, one shuffle join per column.
     """
-    side = broadcast_if_small(dim.select(dim_id, dim_name), max_broadcast_bytes)
-    out = df
-    for c in id_cols:
-        named = side.select(F.col(dim_id).alias(f"__id_{c}"), F.col(dim_name).alias(f"{c}{suffix}"))
-        out = out.join(named, out[c] == named[f"__id_{c}"], "left").drop(f"__id_{c}")
-    return out
+    lookup = dim.select(dim_id, dim_name)
+    size = estimated_bytes(lookup)
+    small = size is not None and size <= max_broadcast_bytes
+    if small or not key or len(id_cols) < 2:
+        side = F.broadcast(lookup) if small else lookup
+        out = df
+        for c in id_cols:
+            named = side.select(F.col(dim_id).alias(f"__id_{c}"), F.col(dim_name).alias(f"{c}{suffix}"))
+            out = out.join(named, out[c] == named[f"__id_{c}"], "left").drop(f"__id_{c}")
+        return out
+    keys = list(key)
+    slots = F.array(*[F.struct(F.lit(i).alias("slot"), F.col(c).alias("id")) for i, c in enumerate(id_cols)])
+    stacked = df.select(*keys, F.explode(slots).alias("__e")).select(*keys, "__e.slot", "__e.id")
+    named = stacked.filter(F.col("id").isNotNull()).join(
+        lookup.select(F.col(dim_id).alias("id"), F.col(dim_name).alias("__name")), "id", "inner"
+    )
+    wide = named.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("slot") == i, F.col("__name"))).alias(f"{c}{suffix}") for i, c in enumerate(id_cols)]
+    )
+    return df.join(wide, keys, "left")

@@ -169,9 +169,13 @@ def name_modifiers(
     cols: Sequence[str] = ("exclusion_1", "exclusion_2", "extra_1", "extra_2"),
     id_col: str = "topping_id",
     suffix: str = "_topping",
+    key: Sequence[str] | None = None,
+    max_broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """Resolve every id column to its name through one lookup table."""
-    return lookup_names(co, list(cols), toppings, id_col, name_col, suffix=suffix)
+    """Resolve every id column to its name through one lookup table (``key``: a unique
+    row key, used to stack the columns into one join when the table is large)."""
+    extra = {} if max_broadcast_bytes is None else {"max_broadcast_bytes": max_broadcast_bytes}
+    return lookup_names(co, list(cols), toppings, id_col, name_col, suffix=suffix, key=key, **extra)
 
 
 # C13

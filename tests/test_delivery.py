@@ -180,3 +180,14 @@ def test_property_totals_and_flags(spark, raw, c):
     # explode -> aggregate round trip: modifier rows regroup to the same ids
     back = D.explode_modifier(c.customer_orders, "extras").groupBy("record_id").agg(F.count("*").alias("n"))
     assert dict(rows(back)) == {8: 1, 10: 1, 12: 2, 14: 2}
+
+
+def test_c12_large_lookup_path_equals_broadcast_path(c):
+    base = D.split_modifiers(c.customer_orders)
+    tops = c.toppings.select("topping_id", "topping_name")
+    small = D.name_modifiers(base, tops)
+    stacked = D.name_modifiers(base, tops, key=["record_id"], max_broadcast_bytes=0)
+    cols = ["record_id", "exclusion_1_topping", "exclusion_2_topping", "extra_1_topping", "extra_2_topping"]
+    assert rows(stacked, *cols) == rows(small, *cols)
+    plan = stacked._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan
