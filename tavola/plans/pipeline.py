@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tavola.operators import adjust
 from tavola.plans import delivery as D
+from tavola.session import materialize
 
 
 @dataclass
@@ -42,10 +43,20 @@ class DeliveryClean:
     qty: DataFrame  # (key..., item, qty) adjusted multiset
 
 
-def clean(raw: DeliveryRaw, key: Sequence[str] = ("record_id",)) -> DeliveryClean:
+def clean(raw: DeliveryRaw, key: Sequence[str] = ("record_id",), checkpoint: bool = False) -> DeliveryClean:
+    """All cleaned tables as one lazy plan.
+
+    ``checkpoint=True`` writes the two tables every answer reads (cleaned runner and
+    customer orders) to ``spark.checkpoint.dir`` first, so later answers — and
+    recomputation after a lost executor — start from those files, not the raw feeds.
+    """
     keys = list(key)
     ro = D.clean_runner_orders(raw.runner_orders)
+    if checkpoint:
+        ro = materialize(ro)
     co = D.enrich_cancellation(D.enrich_name(D.clean_customer_orders(raw.customer_orders), raw.pizza_names), ro)
+    if checkpoint:
+        co = materialize(co)
     toppings = raw.pizza_toppings.join(D.toppings_text(raw.pizza_toppings), "topping_id")
     recipe_named = D.name_toppings(D.explode_recipe(raw.pizza_recipes), raw.pizza_toppings)
     orders = D.attach_ingredients(D.name_modifiers(D.split_modifiers(co), raw.pizza_toppings), recipe_named)

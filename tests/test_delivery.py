@@ -191,3 +191,12 @@ def test_c12_large_lookup_path_equals_broadcast_path(c):
     assert rows(stacked, *cols) == rows(small, *cols)
     plan = stacked._jdf.queryExecution().executedPlan().toString()
     assert "Generate explode" in plan
+
+
+def test_checkpointed_pipeline_gives_same_answers(spark, raw, c):
+    cp = clean(raw, checkpoint=True)
+    plan = cp.customer_orders._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" in plan or "LogicalRDD" in plan or "RDDScan" in plan
+    assert rows(D.delivery_report(raw.ratings, cp.customer_orders, cp.runner_orders)) == rows(
+        D.delivery_report(raw.ratings, c.customer_orders, c.runner_orders)
+    )
