@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tavola.functions import (
     csv_items,
     csv_part,
@@ -73,6 +75,11 @@ def test_lists(spark):
 
 
 def test_round_ratio_exact_half_away_from_zero(spark):
-    df = spark.createDataFrame([(47, 8), (3133, 200), (-3133, 200), (1, 3), (5, 0)], "n long, d long")
+    df = spark.createDataFrame([(47, 8), (3133, 200), (-3133, 200), (1, 3), (5, 0), (1, -8)], "n long, d long")
     out = [r.x for r in df.select(round_ratio("n", "d", 2).alias("x")).collect()]
-    assert out == [5.88, 15.67, -15.67, 0.33, None]
+    assert out == [5.88, 15.67, -15.67, 0.33, None, -0.13]
+    # beyond 64-bit-safe magnitudes the decimal path gives the same exact rounding
+    big = spark.createDataFrame([("123456789012345678901234565", "1000")], "n string, d string").select(
+        F.col("n").cast("decimal(38,0)").alias("n"), F.col("d").cast("decimal(38,0)").alias("d")
+    )
+    assert big.select(round_ratio("n", "d", 0).alias("x")).first().x == float(123456789012345678901235)
