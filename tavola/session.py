@@ -48,15 +48,16 @@ def get_spark(app: str = "tavola", master: str | None = None, **conf: str) -> Sp
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when unset (tests) make a scratch one."""
+    """The folder checkpoints go to: the session's ``spark.checkpoint.dir`` (the shared
+    folder on a cluster), else the context's current one; only when neither exists
+    (local tests) a scratch folder is made. Returns the folder the context writes to."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    scratch = tempfile.mkdtemp(prefix="tavola-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tavola-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -49,7 +49,8 @@ def run_incremental(
     The checkpoint goes under the session's ``spark.checkpoint.dir`` (the shared folder
     on a cluster), so a restarted driver resumes from the last committed batch.
     """
-    base = ensure_checkpoint_dir(stream.sparkSession)
+    spark = stream.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     location = os.path.join(base, "streams", name)
     result = answer(stream, *static)
     return (
