@@ -15,10 +15,11 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` (file sizes scaled by pruning), or None if unknown."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()  # noqa: SLF001
-        return int(stats.sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # noqa: SLF001
     except Exception:  # pragma: no cover - e.g. a Connect session exposes no plan stats
         return None
+    # py4j hands a Scala BigInt over as a Python int; keep a string fallback
+    return int(size) if isinstance(size, int) else int(str(size))
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

@@ -45,3 +45,23 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["customer_id", "order_date", "product_name", "price", "member", "rnk"]
+
+
+def test_broadcast_only_under_size_bound(spark):
+    from pyspark.sql import functions as F
+
+    from tavola.operators import broadcast_if_small, estimated_bytes
+    from tavola.sources.testdata import load_tables
+
+    part = load_tables(spark, SF).part.select("p_partkey", "p_type")
+    size = estimated_bytes(part)
+    assert size is not None and size > 0
+    fact = load_tables(spark, SF).lineitem.select("l_partkey")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = fact.join(broadcast_if_small(part, max_bytes=size), F.col("l_partkey") == F.col("p_partkey"))
+        declined = fact.join(broadcast_if_small(part, max_bytes=size - 1), F.col("l_partkey") == F.col("p_partkey"))
+        assert "BroadcastHashJoin" in _plan(hinted)
+        assert "BroadcastHashJoin" not in _plan(declined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
