@@ -20,7 +20,7 @@ def with_record_seq(
 
     Ordinary keys are numbered by a window partitioned by the key and ordered by all
     other columns. A key with more than ``hot_rows`` rows is split deterministically
-    into hash buckets of about ``hot_rows`` rows; rows are numbered inside
+    into hash buckets of about ``hot_rows`` rows (identical copies included); rows are numbered inside
     (key, bucket) and shifted by the sizes of the key's earlier buckets, so no task
     sorts more than a bucket. Rows tied on every column are interchangeable, so the
     multiset of ids is deterministic either way.
@@ -31,11 +31,16 @@ def with_record_seq(
     hot = sizes.filter(F.col("__n") > hot_rows).select(
         *keys, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__buckets")
     )
+    # The input partition index, taken before any shuffle: identical copies of a row
+    # (a "group of copies") then spread over buckets by where they were read. Copies are
+    # interchangeable, and a re-run reads each row from the same partition, so the
+    # numbering stays deterministic.
+    source = df.withColumn("__pid", F.spark_partition_id())
     # At most (rows / hot_rows) hot keys exist, so this side has a proven size bound.
-    tagged = df.join(broadcast_if_small(hot), keys, "left")
-    row_hash = F.xxhash64(*[F.col(c) for c in rest]) if rest else F.lit(0)
+    tagged = source.join(broadcast_if_small(hot), keys, "left")
+    row_hash = F.xxhash64(*[F.col(c) for c in rest], F.col("__pid"))
     bucket = F.when(F.col("__buckets").isNotNull(), F.pmod(row_hash, F.col("__buckets"))).otherwise(F.lit(0))
-    tagged = tagged.withColumn("__bucket", bucket.cast("int")).drop("__buckets")
+    tagged = tagged.withColumn("__bucket", bucket.cast("int")).drop("__buckets", "__pid")
 
     w = Window.partitionBy(*keys, "__bucket").orderBy(*[F.col(c).asc_nulls_first() for c in rest])
     local = tagged.withColumn("__local", F.row_number().over(w))

@@ -81,3 +81,22 @@ def test_adjust_equals_python_multiset(spark, seed):
     for pair in set(exc):
         want.pop(pair, None)
     assert got == dict(want)
+
+
+def test_record_seq_splits_a_hot_group_of_copies(spark):
+    rows_ = [(0, 1, "x", 1)] * 300 + _data(11, n=100)  # one row copied 300 times in key 0
+    df = spark.createDataFrame(rows_, "k int, a int, b string, c int").repartition(8)
+    out = with_record_seq(df, ["k"], hot_rows=40)
+    got = out.collect()
+    per_key = defaultdict(list)
+    for r in got:
+        per_key[r.k].append(r.record_seq)
+    for k, seqs in per_key.items():
+        assert sorted(seqs) == list(range(1, len(seqs) + 1)), k
+    assert Counter((r.k, r.a, r.b, r.c) for r in got) == Counter(rows_)
+    # the copies were numbered in several buckets, not one
+    plan_rows = (
+        df.withColumn("pid", F.spark_partition_id()).filter("k = 0 AND a = 1 AND b = 'x' AND c = 1")
+        .select("pid").distinct().count()
+    )
+    assert plan_rows > 1
