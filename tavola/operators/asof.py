@@ -35,11 +35,30 @@ def next_after(
     hot_bucket: str = "minute",
     hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """``left`` plus ``out`` = min(right.ts) with right.ts > left.ts for the same key (or NULL)."""
+    """``left`` plus ``out`` = min(right.ts) with right.ts > left.ts for the same key (or NULL).
+
+    The lookup runs on distinct (key, instant) pairs of each side — copies of an instant
+    share one answer — and the answer is joined back to every left row.
+    """
     keys = [key] if isinstance(key, str) else list(key)
     rts = right_ts or ts
+    instants = left.select(*keys, ts).distinct()
+    targets = right.select(*keys, F.col(rts).alias(ts)).distinct()
+    found = _next_instants(instants, targets, keys, ts, out, bucket, hot_bucket, hot_rows)
+    return left.join(found, keys + [ts], "left")
+
+
+def _next_instants(
+    left: DataFrame,
+    rsel: DataFrame,
+    keys: list[str],
+    ts: str,
+    out: str,
+    bucket: str,
+    hot_bucket: str,
+    hot_rows: int,
+) -> DataFrame:
     side, bkt = "__side", "__bucket"
-    rsel = right.select(*keys, F.col(rts).alias(ts))
     sizes = left.select(*keys).unionByName(rsel.select(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     # At most (rows / hot_rows) keys are hot, so this side has a proven size bound.
     hot = broadcast_if_small(sizes.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot")))

@@ -100,3 +100,13 @@ def test_record_seq_splits_a_hot_group_of_copies(spark):
         .select("pid").distinct().count()
     )
     assert plan_rows > 1
+
+
+def test_next_after_with_many_copies_of_one_instant(spark):
+    t0 = dt.datetime(2024, 1, 2, 10, 0, 0)
+    left = [(0, t0)] * 200 + [(1, t0)]
+    right = [(0, t0), (0, t0 + dt.timedelta(seconds=1)), (1, t0 - dt.timedelta(days=1))]
+    L = spark.createDataFrame(left, "k int, ts timestamp_ntz")
+    R = spark.createDataFrame(right, "k int, ts timestamp_ntz")
+    got = Counter((r.k, r.next_ts) for r in next_after(L, R, "k", "ts", hot_rows=10).collect())
+    assert got == Counter({(0, t0 + dt.timedelta(seconds=1)): 200, (1, None): 1})
