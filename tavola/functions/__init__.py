@@ -8,7 +8,7 @@ from tavola.functions.clean import (
     to_decimal,
     to_int,
 )
-from tavola.functions.lists import csv_items, csv_part, ordered_join
+from tavola.functions.lists import csv_items, csv_part
 from tavola.functions.numeric import round_ratio, to_money
 from tavola.functions.timeutil import minutes_between, monday_week_of_year, weekday_name
 
@@ -20,7 +20,6 @@ __all__ = [
     "monday_week_of_year",
     "nullify_sentinels",
     "numeric_cast",
-    "ordered_join",
     "round_ratio",
     "strip_units",
     "to_decimal",

@@ -1,4 +1,4 @@
-"""Delimited-list text: split, pick positions, and ordered string aggregation."""
+"""Delimited-list text: split into tokens and pick positions."""
 
 from __future__ import annotations
 
@@ -29,17 +29,3 @@ def csv_part(c: str | Column, position: int, sep: str = ",", cast: str | None =
     """
     token = F.trim(F.try_element_at(F.split(as_col(c), re.escape(sep)), F.lit(position)))
     return token if cast is None else numeric_cast(token, cast)
-
-
-def ordered_join(
-    value: str | Column, sep: str = ",", order_by: str | Column | None = None
-) -> Column:
-    """Aggregate: ``sep``-joined values in a stated order (default: the value itself).
-
-    Spark's ``listagg … WITHIN GROUP``; the group is expected to be bounded (a recipe,
-    the distinct toppings of one record), never a raw fact partition.
-    """
-    v = as_col(value)
-    key = v if order_by is None else as_col(order_by)
-    pairs = F.array_sort(F.collect_list(F.struct(key.alias("k"), v.alias("v"))))
-    return F.array_join(F.transform(pairs, lambda p: p["v"]), sep)

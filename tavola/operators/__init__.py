@@ -2,7 +2,7 @@
 
 from tavola.operators.asof import next_after
 from tavola.operators.joins import broadcast_if_small, enrich, estimated_bytes, lookup_names, unique_on
-from tavola.operators.multiset import adjust, adjust_tagged, copies_list, format_list, item_lists, total_by_item
+from tavola.operators.multiset import adjust, adjust_tagged, copies_list, format_list, item_lists, joined_list, total_by_item
 from tavola.operators.quality import check_split, check_status
 from tavola.operators.ranking import dense_rank_of, first_by, keep_max_ties, rows_at_extreme, top_one
 from tavola.operators.record_id import with_dense_record_id, with_record_seq
@@ -20,6 +20,7 @@ __all__ = [
     "first_by",
     "format_list",
     "item_lists",
+    "joined_list",
     "keep_max_ties",
     "lookup_names",
     "next_after",

@@ -139,3 +139,27 @@ def item_lists(
     aggs = [listed(v).alias(out) for v, out in kinds.items()]
     aggs += [F.max(F.when(F.col(kind) == F.lit(v), F.lit(1))).alias(out) for v, out in (flags or {}).items()]
     return per_item.groupBy(*keys).agg(*aggs)
+
+
+def joined_list(
+    df: DataFrame,
+    key: str | Sequence[str],
+    value: str,
+    order: str | None = None,
+    sep: str = ",",
+    out: str = "items",
+) -> DataFrame:
+    """(key..., out): ``value``s of each key joined by ``sep`` in ``order`` (default: value).
+
+    Copies of a (key, order, value) row are counted first — a map-side combined
+    aggregate — so a key with many repeated rows collects one entry per distinct value;
+    each value is then repeated as often as it occurred.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    order = order or value
+    group = [*keys, value] if order == value else [*keys, order, value]
+    counted = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
+    entry = F.struct(F.col(order).alias("o"), F.col(value).alias("v"), F.col("__n").cast("int").alias("n"))
+    entries = F.array_sort(F.collect_list(entry))
+    values = F.flatten(F.transform(entries, lambda e: F.array_repeat(e["v"], e["n"])))
+    return counted.groupBy(*keys).agg(F.array_join(values, sep).alias(out))

@@ -19,7 +19,6 @@ from tavola.functions import (
     minutes_between,
     monday_week_of_year,
     nullify_sentinels,
-    ordered_join,
     round_ratio,
     strip_units,
     to_decimal,
@@ -32,6 +31,7 @@ from tavola.operators import (
     check_status,
     copies_list,
     enrich,
+    joined_list,
     lookup_names,
     top_one,
     with_record_seq,
@@ -181,7 +181,7 @@ def name_modifiers(
 # C13
 def recipe_lists(recipe_named: DataFrame, sep: str = ",", order_by: str = "topping_id") -> DataFrame:
     """(pizza_id, ingredients): the recipe's topping names in recipe-id order."""
-    return recipe_named.groupBy("pizza_id").agg(ordered_join("topping_name", sep, order_by).alias("ingredients"))
+    return joined_list(recipe_named, "pizza_id", "topping_name", order_by, sep, out="ingredients")
 
 
 def attach_ingredients(co: DataFrame, recipe_named: DataFrame, sep: str = ",") -> DataFrame:

@@ -11,8 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tavola.functions import csv_items, ordered_join
-from tavola.operators import broadcast_if_small, format_list, item_lists, keep_max_ties, total_by_item
+from tavola.functions import csv_items
+from tavola.operators import broadcast_if_small, format_list, item_lists, joined_list, keep_max_ties, total_by_item
 
 # Display names and fall-backs of the order label.
 LABEL_UNMODIFIED = {"Meatlovers": "Meat Lovers", "Vegetarian": "Vegetarian Lovers"}
@@ -26,7 +26,7 @@ LABEL_UNKNOWN = "Unknown modification"
 def standard_ingredients(
     recipe_named: DataFrame, sep: str = ",", order_by: str = "topping_id", key: str = "pizza_id"
 ) -> DataFrame:
-    return recipe_named.groupBy(key).agg(ordered_join("topping_name", sep, order_by).alias("toppings"))
+    return joined_list(recipe_named, key, "topping_name", order_by, sep, out="toppings")
 
 
 # I02 / I03
