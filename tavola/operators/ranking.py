@@ -23,17 +23,20 @@ def keep_max_ties(df: DataFrame, measure: str, group: str | Sequence[str] = ())
     """Rows whose ``measure`` equals the maximum (per ``group``): TOP 1 WITH TIES.
 
     Global case: one-row aggregate joined back (a one-row side is safe to broadcast).
-    Grouped case: per-group maxima by aggregate (combined map-side), semi-joined back on
-    (group, measure) — a group with very many rows is split by the join, not sorted in
-    one window task.
+    Grouped case: per-group maxima by aggregate (combined map-side), joined back on the
+    group keys and filtered to the maximum — a group with very many rows is split by the
+    join (AQE skew handling), not sorted in one window task.
     """
     keys = _cols(group)
     if not keys:
         top = df.agg(F.max(measure).alias("__max"))
         return df.join(F.broadcast(top), F.col(measure) == F.col("__max"), "left_semi")
+    # One maximum per group: join on the group keys only (reusing the aggregate's hash
+    # partitioning) and keep the rows at the maximum. ``>=`` equals ``==`` here (nothing
+    # exceeds its maximum) but, unlike ``==``, is not turned into a second join key,
+    # which would force both sides to be re-shuffled on (keys, measure).
     tops = broadcast_if_small(df.groupBy(*keys).agg(F.max(measure).alias("__max")))
-    cond = [df[k] == tops[k] for k in keys] + [df[measure] == tops["__max"]]
-    return df.join(tops, cond, "left_semi")
+    return df.join(tops, keys, "inner").filter(F.col(measure) >= F.col("__max")).drop("__max")
 
 
 def top_one(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -46,15 +49,17 @@ def rows_at_extreme(
 ) -> DataFrame:
     """All rows of each key whose ``by`` equals the key's min (or max) — duplicates kept.
 
-    Equivalent to ``dense_rank() … = 1``: aggregate per key (skew-safe), then semi-join
-    the raw rows back on (key, extreme value).
+    Equivalent to ``dense_rank() … = 1``: aggregate per key (skew-safe), join the raw
+    rows back on the key and keep those at the extreme value.
     """
     keys = _cols(key)
     agg = F.min(by) if which == "min" else F.max(by)
-    ext = df.groupBy(*keys).agg(agg.alias("__ext"))
-    ext = broadcast_if_small(ext)
-    cond = [df[k] == ext[k] for k in keys] + [df[by] == ext["__ext"]]
-    return df.join(ext, cond, "left_semi")
+    # One extreme per key: join on the key only (reusing the aggregate's partitioning) and
+    # keep the rows at the extreme; a one-sided comparison (nothing passes its own
+    # extreme) stays a filter instead of becoming a second join key.
+    ext = broadcast_if_small(df.groupBy(*keys).agg(agg.alias("__ext")))
+    at_extreme = F.col(by) <= F.col("__ext") if which == "min" else F.col(by) >= F.col("__ext")
+    return df.join(ext, keys, "inner").filter(at_extreme).drop("__ext")
 
 
 def first_by(
