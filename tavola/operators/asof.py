@@ -79,12 +79,13 @@ def _next_instants(
         .orderBy(F.col(ts).desc(), F.col(side).asc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    within = both.withColumn("__in", F.min(F.when(F.col(side) == 1, F.col(ts))).over(w_in)).filter(F.col(side) == 0)
+    windowed = both.withColumn("__in", F.min(F.when(F.col(side) == 1, F.col(ts))).over(w_in))
+    within = windowed.filter(F.col(side) == 0)
 
-    # 2. earliest right instant in any strictly later bucket of the same key.
-    bucket_min = rrows.groupBy(*keys, bkt).agg(F.min(ts).alias("__bmin"))
-    left_buckets = lrows.select(*keys, bkt).distinct().withColumn("__bmin", F.lit(None).cast(bucket_min.schema["__bmin"].dataType))
-    buckets = bucket_min.unionByName(left_buckets).groupBy(*keys, bkt).agg(F.min("__bmin").alias("__bmin"))
+    # 2. earliest right instant in any strictly later bucket of the same key. The
+    #    per-(key, bucket) minima come from the windowed rows, which are already
+    #    partitioned by (key, bucket), so this aggregate adds no shuffle.
+    buckets = windowed.groupBy(*keys, bkt).agg(F.min(F.when(F.col(side) == 1, F.col(ts))).alias("__bmin"))
     w_later = Window.partitionBy(*keys).orderBy(F.col(bkt).desc()).rowsBetween(Window.unboundedPreceding, -1)
     later = buckets.withColumn("__later", F.min("__bmin").over(w_later)).select(*keys, bkt, "__later")
 
