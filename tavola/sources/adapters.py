@@ -123,10 +123,6 @@ class Delivery:
             self._lines, "record_id", "item", F.lit(1), F.col("flag") == "A", F.col("flag") == "R", standard_is_set=True
         )
 
-    @cached_property
-    def standard(self) -> DataFrame:  # (record_id, item): distinct item types of the record
-        return self._lines.select("record_id", "item").distinct()
-
     @cached_property
     def extras(self) -> DataFrame:  # (record_id, pos, item) per 'A' line
         return self._lines.filter(F.col("flag") == "A").select("record_id", "pos", "item")
