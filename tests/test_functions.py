@@ -83,3 +83,45 @@ def test_round_ratio_exact_half_away_from_zero(spark):
         F.col("n").cast("decimal(38,0)").alias("n"), F.col("d").cast("decimal(38,0)").alias("d")
     )
     assert big.select(round_ratio("n", "d", 0).alias("x")).first().x == float(123456789012345678901235)
+
+
+def test_minutes_match_python_definition_on_random_instants(spark):
+    import random
+
+    rnd = random.Random(3)
+    base = dt.datetime(1999, 12, 31, 23, 0, 0)
+    pairs = []
+    for _ in range(3000):
+        a = base + dt.timedelta(microseconds=rnd.randint(-10**11, 10**11))
+        b = a + dt.timedelta(microseconds=rnd.randint(-10**10, 10**10))
+        pairs.append((a, b))
+    df = spark.createDataFrame(pairs, "a timestamp_ntz, b timestamp_ntz")
+    got = df.select("a", "b", minutes_between("a", "b").alias("m"), minutes_between("a", "b", "elapsed").alias("e"))
+
+    def floor_minute(t):
+        return (t - dt.datetime(1970, 1, 1)) // dt.timedelta(minutes=1)
+
+    def elapsed(a, b):
+        us = (b - a) // dt.timedelta(microseconds=1)
+        return int(us / 60_000_000) if us >= 0 else -int(-us / 60_000_000)
+
+    for r in got.collect():
+        assert r.m == floor_minute(r.b) - floor_minute(r.a)
+        assert r.e == elapsed(r.a, r.b)
+
+
+def test_monday_weeks_match_python_definition(spark):
+    days = [dt.date(1995, 1, 1) + dt.timedelta(days=i) for i in range(0, 365 * 36)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+
+    def week(d):
+        jan1 = dt.date(d.year, 1, 1)
+        return (d.timetuple().tm_yday + jan1.weekday() - 1) // 7 + 1
+
+    got = {r.d: r.w for r in df.select("d", monday_week_of_year("d").alias("w")).collect()}
+    assert all(got[d] == week(d) for d in days)
+    # weeks start on Monday: the week number changes exactly on Mondays (and on Jan 1)
+    assert all(
+        (got[d] != got[d - dt.timedelta(days=1)]) == (d.weekday() == 0 or (d.month, d.day) == (1, 1))
+        for d in days[1:]
+    )
