@@ -19,8 +19,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tavola.operators.joins import broadcast_if_small
-
 HOT_KEY_ROWS = 1_000_000
 
 
@@ -60,8 +58,10 @@ def _next_instants(
 ) -> DataFrame:
     side, bkt = "__side", "__bucket"
     sizes = left.select(*keys).unionByName(rsel.select(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    # At most (rows / hot_rows) keys are hot, so this side has a proven size bound.
-    hot = broadcast_if_small(sizes.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot")))
+    # At most (rows / hot_rows) keys are hot: a size bound by construction, which the
+    # optimizer's estimate cannot see, so the side is broadcast explicitly (a shuffle
+    # join here would put each hot key back into one partition).
+    hot = F.broadcast(sizes.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot")))
 
     def bucketed(df: DataFrame) -> DataFrame:
         tagged = df.join(hot, keys, "left")

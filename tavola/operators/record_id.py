@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tavola.operators.joins import broadcast_if_small
 
 # A key with more rows than this is numbered in hash buckets of about this many rows.
 HOT_KEY_ROWS = 1_000_000
@@ -36,8 +35,10 @@ def with_record_seq(
     # interchangeable, and a re-run reads each row from the same partition, so the
     # numbering stays deterministic.
     source = df.withColumn("__pid", F.spark_partition_id())
-    # At most (rows / hot_rows) hot keys exist, so this side has a proven size bound.
-    tagged = source.join(broadcast_if_small(hot), keys, "left")
+    # At most (rows / hot_rows) hot keys exist: a size bound by construction, which the
+    # optimizer's estimate (inflated by the aggregate below) cannot see. Broadcasting it
+    # explicitly also keeps a hot key out of a shuffle join.
+    tagged = source.join(F.broadcast(hot), keys, "left")
     row_hash = F.xxhash64(*[F.col(c) for c in rest], F.col("__pid"))
     bucket = F.when(F.col("__buckets").isNotNull(), F.pmod(row_hash, F.col("__buckets"))).otherwise(F.lit(0))
     tagged = tagged.withColumn("__bucket", bucket.cast("int")).drop("__buckets", "__pid")
@@ -45,12 +46,13 @@ def with_record_seq(
     w = Window.partitionBy(*keys, "__bucket").orderBy(*[F.col(c).asc_nulls_first() for c in rest])
     local = tagged.withColumn("__local", F.row_number().over(w))
 
-    hot_rows_only = tagged.join(broadcast_if_small(hot.select(*keys)), keys, "left_semi")
+    hot_rows_only = tagged.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
     counts = hot_rows_only.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__c"))
     before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0))).drop("__c")
 
-    numbered = local.join(broadcast_if_small(offsets), [*keys, "__bucket"], "left")
+    # One row per bucket of a hot key: at most 2 * rows / hot_rows rows.
+    numbered = local.join(F.broadcast(offsets), [*keys, "__bucket"], "left")
     seq = (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).cast("bigint")
     return numbered.select(*df.columns, seq.alias(out))
 

@@ -65,3 +65,14 @@ def test_broadcast_only_under_size_bound(spark):
         assert "BroadcastHashJoin" not in _plan(declined)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+
+
+def test_hot_key_tables_broadcast_without_auto_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ["C14_record_id", "B02_signup_to_purchase"]:
+            plan = _plan(E.queries()[name](spark, SF))
+            # the bounded hot-key table joins by broadcast; no shuffle join against it
+            assert "BroadcastHashJoin" in plan, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
