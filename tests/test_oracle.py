@@ -37,3 +37,16 @@ def test_matches_oracle(spark, con, name):
     a = rows_of(df.columns, [tuple(r) for r in df.collect()])
     b = rows_of(d_names, cur.fetchall())
     assert isinstance(a, Counter) and a == b
+
+
+@pytest.mark.parametrize("name", ["B02_signup_to_purchase", "C20_delivery_report", "A09_by_hour", "D12_member_rank"])
+def test_time_answers_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = E.queries()[name](spark, SF)
+        cur = con.execute(SQL[name])
+        d_names = [c[0] for c in cur.description]
+        assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(d_names, cur.fetchall())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
