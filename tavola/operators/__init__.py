@@ -1,7 +1,14 @@
 """Relational operators composed from Spark joins, aggregates and windows."""
 
 from tavola.operators.asof import next_after
-from tavola.operators.joins import broadcast_if_small, enrich, estimated_bytes, lookup_names, unique_on
+from tavola.operators.joins import (
+    broadcast_if_small,
+    enrich,
+    estimated_bytes,
+    fits_broadcast,
+    lookup_names,
+    unique_on,
+)
 from tavola.operators.multiset import adjust, adjust_tagged, copies_list, format_list, item_lists, joined_list, total_by_item
 from tavola.operators.quality import check_split, check_status
 from tavola.operators.ranking import dense_rank_of, first_by, keep_max_ties, rows_at_extreme, top_one
@@ -18,6 +25,7 @@ __all__ = [
     "enrich",
     "estimated_bytes",
     "first_by",
+    "fits_broadcast",
     "format_list",
     "item_lists",
     "joined_list",

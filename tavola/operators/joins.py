@@ -22,12 +22,25 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(size) if isinstance(size, int) else int(str(size))
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` only when its estimated size is known and under ``max_bytes``."""
+def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df``'s estimated size is known and under ``max_bytes``.
+
+    The session setting ``tavola.broadcast.maxBytes`` lowers the cap for every check (a
+    cluster operator's limit; ``0`` turns size-based broadcasts off).
+    """
+    try:
+        session_cap = df.sparkSession.conf.get("tavola.broadcast.maxBytes", None)
+    except Exception:  # pragma: no cover - sessions without a readable conf
+        session_cap = None
+    if session_cap is not None:
+        max_bytes = min(max_bytes, int(session_cap))
     size = estimated_bytes(df)
-    if size is not None and size <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return size is not None and size <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` only when ``fits_broadcast``; otherwise a shuffle join decides."""
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def unique_on(dim: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -76,8 +89,7 @@ def lookup_names(
     of one per column. Without a key, one shuffle join per column.
     """
     lookup = dim.select(dim_id, dim_name)
-    size = estimated_bytes(lookup)
-    small = size is not None and size <= max_broadcast_bytes
+    small = fits_broadcast(lookup, max_broadcast_bytes)
     if small or not key or len(id_cols) < 2:
         side = F.broadcast(lookup) if small else lookup
         out = df

@@ -76,3 +76,17 @@ def test_hot_key_tables_broadcast_without_auto_broadcast(spark):
             assert "BroadcastHashJoin" in plan, name
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+
+
+def test_session_cap_turns_size_based_broadcasts_off(spark):
+    from tavola.operators import broadcast_if_small
+    from tavola.sources.testdata import load_tables
+
+    part = load_tables(spark, SF).part.select("p_partkey", "p_type")
+    spark.conf.set("tavola.broadcast.maxBytes", "0")
+    try:
+        assert "ResolvedHint" not in part.explain.__self__._jdf.queryExecution().analyzed().toString()
+        assert broadcast_if_small(part)._jdf.queryExecution().analyzed().toString().count("broadcast") == 0
+    finally:
+        spark.conf.unset("tavola.broadcast.maxBytes")
+    assert "broadcast" in broadcast_if_small(part)._jdf.queryExecution().analyzed().toString()
