@@ -23,7 +23,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage like ``checkpoint()`` but compressed and column-wise, so later steps read
     only the columns they need; survives the loss of any executor."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
