@@ -1,12 +1,13 @@
 """The registered queries of this package: one per operator, and the pipeline's SQL where it has any."""
 
-from tavola.llm import byte_bpe, merkle, mixing, rule_quality, sharding, token_files
+from tavola.llm import byte_bpe, merkle, mixing, personal_data, rule_quality, sharding, token_files
 from tavola.llm.oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
     "op3_merkle": merkle.query,
     "op4_bin_packing": sharding.query,
     "op5_token_files": token_files.query,
+    "op6_personal_data": personal_data.query,
     "op8_byte_bpe": byte_bpe.query,
     "op9_rule_quality": rule_quality.query,
     "op10_fair_queueing": mixing.query,
