@@ -1,10 +1,11 @@
 """The registered queries of this package: one per operator, and the pipeline's SQL where it has any."""
 
-from tavola.llm import byte_bpe, merkle, mixing, permutation_index, personal_data, rule_quality, sharding, token_files
+from tavola.llm import byte_bpe, merkle, mixing, near_duplicates, permutation_index, personal_data, rule_quality, sharding, token_files
 from tavola.llm.oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
     "op1_permutation_index": permutation_index.query,
+    "op2_minhash": near_duplicates.query,
     "op3_merkle": merkle.query,
     "op4_bin_packing": sharding.query,
     "op5_token_files": token_files.query,
