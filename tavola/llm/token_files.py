@@ -31,8 +31,10 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +51,8 @@ BLOCK_TOKENS = 1_000_000
 #: Entries of a generation of a worker's word memo; longer words are not kept.
 WORD_MEMO = 400_000
 MEMO_CHARS = 64
-#: Signs that may end a word and are tokens apart from its letters.
-SIGNS = tuple(".,;:!?")
+#: Signs that are tokens apart from the letters before them.
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _LENGTHS = 1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3)
 
@@ -80,24 +82,44 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if it prints in
+    Latin-1, else the next free one from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = (b for b in range(256) if b not in prints)
+    return {b: chr(b) for b in prints} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizers vocabulary that drops white space, lower-cases, and cuts
-    between letters and other signs. A word the memo lacks is looked up, or else encoded by the
-    library, without the one sign that ends it and, if it is ASCII, in lower case."""
+    """Ids of texts by a tokenizers vocabulary that drops white space, composes (NFC) and
+    lower-cases, cuts between letters, digits and other signs, and writes bytes as letters.
+
+    A word the memo lacks is taken as its letters, in lower case, and the signs that end it. The
+    library's model encodes composed lower-case letters directly, as its normaliser and cutter
+    would leave them whole; any other word passes the library's full path."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if size <= 2**16 else np.dtype("<u4")
+        self.code = self.dtype.char
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _library(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        encoded = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return ((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(words, encoded, strict=True))
+    def _by_library(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        rest = []
+        for w in words:
+            if w.isalpha() and w == w.lower() and is_normalized("NFC", w):
+                tokens = self.model.tokenize(w.encode().decode("latin-1").translate(self.letters))
+                yield w, array(self.code, [t.id for t in tokens]).tobytes()
+            else:
+                rest.append(w)
+        encoded = self.tokenizer.encode_batch(rest, add_special_tokens=False)
+        yield from ((w, array(self.code, e.ids).tobytes()) for w, e in zip(rest, encoded, strict=True))
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """The ids of each text and the end id, as little-endian integers of ``dtype``."""
@@ -105,19 +127,23 @@ class WordEncoder:
         if len(self.memo) > WORD_MEMO:
             self.old, self.memo = self.memo, {}
         memo, old = self.memo, self.old
-        stems = {}
+        parts = {}
         for w in {w for ws in words for w in ws if w not in memo}:
             if w in old:
                 memo[w] = old[w]
             else:
-                cut = len(w) - (w[-1:] in SIGNS and w[-2:-1].isalpha())
-                stems[w] = (w[:cut].lower() if w.isascii() else w[:cut]), w[cut:]
-        parts = {part for pair in stems.values() for part in pair}
-        known = {part: memo.get(part) or old.get(part) for part in parts}
-        known.update(self._library([part for part, ids in known.items() if ids is None]))
+                stem = w.rstrip(SIGNS)
+                low = stem.lower()
+                # only a capital sigma's lower case depends on its place
+                apart = stem.isalpha() and low.isalpha() and "\u03a3" not in stem
+                parts[w] = (low, w[len(stem) :]) if apart else (w, "")
+        known = {part: memo.get(part) or old.get(part) for pair in parts.values() for part in pair}
+        known.update(self._by_library([part for part, ids in known.items() if ids is None]))
         long = {}
-        for w, (stem, sign) in stems.items():
-            (memo if len(w) <= MEMO_CHARS else long)[w] = known[stem] + known[sign]
+        for w, (stem, signs) in parts.items():
+            (memo if len(w) <= MEMO_CHARS else long)[w] = known[stem] + known[signs]
+            if len(stem) <= MEMO_CHARS:
+                memo[stem] = known[stem]
         if long:
             memo = {**memo, **long}
         end = np.array([end_id], self.dtype).tobytes()
