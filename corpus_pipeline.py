@@ -6,24 +6,59 @@ Stages (each takes the documents its predecessor kept):
 2. near_duplicates: one document of every group of near-duplicates stays.
 3. personal_data: spans that rules and the conditional random field find are masked.
 4. mixing: weighted fair queueing over sources; a document taken twice stands there twice.
-5. encoding: byte-level BPE ids of every document, and the check that they decode to the text.
+5. encoding: byte-level BPE ids of every document, and what they decode to.
+
+Defined cases are those of the operators; rows without a doc_id pass the second stage, and of
+rows that repeat a doc_id it keeps one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tavola.llm import byte_bpe, mixing, near_duplicates, personal_data, rule_quality
 from tavola.llm._shared import stash, table
-from tavola.llm.mixing import mixed_documents
+from tavola.operators.joins import broadcast_if_small
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixed_documents(docs.select(*COLUMNS))
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*COLUMNS)
+    model = rule_quality.train(docs, table(spark, sf_dir, "labels"))
+    return rule_quality.scored(docs, model).filter("predicted = 1").select(*COLUMNS)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = docs.select(*COLUMNS)
+    found = near_duplicates.near_duplicates(docs).filter("doc_id IS NOT NULL")
+    kept = found.groupBy("doc_id").agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__rows"))
+    kept = broadcast_if_small(stash(kept.filter("__kept"), "kept").withColumnRenamed("doc_id", "__id"))
+    docs = docs.join(kept, docs["doc_id"] == kept["__id"], "left").filter("doc_id IS NULL OR __kept")
+    repeated = docs.filter("__rows > 1").select(*COLUMNS).dropDuplicates(["doc_id"])
+    return docs.filter("coalesce(__rows, 1) = 1").select(*COLUMNS).unionByName(repeated)
+
+
+def masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return personal_data.mask(docs.select(*COLUMNS))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs.select(*COLUMNS))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return byte_bpe.public_round_trip(docs)
 
 
-STAGES = [("mixing", mixing)]
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", one_of_each_group),
+    ("personal_data", masking),
+    ("mixing", mix),
+    ("encoding", encoding),
+]
 
 #: No SQL states the trained models of stages 1 and 3; tests/llm holds the run against brute force.
 ORACLE_SQL = None
