@@ -31,7 +31,10 @@ def round_ratio(num: str | Column, den: str | Column, digits: int) -> Column:
     n, d = as_col(num).cast("decimal(38,0)"), as_col(den).cast("decimal(38,0)")
     sgn = F.when((n < 0) != (d < 0), F.lit(-1)).otherwise(F.lit(1))
     an, ad = F.abs(n), F.abs(d)
-    units = F.floor((an * (2 * scale) + ad) / (ad * 2))
+    # the remainder goes first: DECIMAL division keeps few digits and rounds half up, so it
+    # must only ever divide an exact multiple
+    a, b = (an * (2 * scale) + ad).cast("decimal(38,0)"), (ad * 2).cast("decimal(38,0)")
+    units = ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
     slow = ((sgn * units).cast("decimal(38,0)") / F.lit(scale).cast("decimal(38,0)")).cast("double")
 
     zero = F.when(fits, dl == 0).otherwise(d == 0)

@@ -12,7 +12,7 @@ from tavola.operators.joins import (
 from tavola.operators.multiset import adjust, adjust_tagged, copies_list, format_list, item_lists, joined_list, total_by_item
 from tavola.operators.quality import check_split, check_status
 from tavola.operators.ranking import dense_rank_of, first_by, keep_max_ties, rows_at_extreme, top_one
-from tavola.operators.record_id import with_dense_record_id, with_record_seq
+from tavola.operators.record_id import with_record_seq
 
 __all__ = [
     "adjust",
@@ -36,6 +36,5 @@ __all__ = [
     "top_one",
     "total_by_item",
     "unique_on",
-    "with_dense_record_id",
     "with_record_seq",
 ]

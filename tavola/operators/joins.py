@@ -44,12 +44,15 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
 
 
 def unique_on(dim: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """One row per key: the smallest value wins where the lookup table repeats a key.
+    """One row per key: the smallest values win where the lookup table repeats a key.
 
     An UPDATE … FROM with several matches picks one row arbitrarily; a join would
     multiply rows instead. Pre-aggregating keeps the row count of the enriched table.
     """
-    return dim.groupBy(*keys).agg(*[F.min(v).alias(v) for v in values])
+    if len(values) == 1:
+        return dim.groupBy(*keys).agg(F.min(values[0]).alias(values[0]))
+    least = dim.groupBy(*keys).agg(F.min(F.struct(*values)).alias("__least"))  # all from one row
+    return least.select(*keys, *[F.col(f"__least.{v}").alias(v) for v in values])
 
 
 def enrich(
@@ -86,10 +89,11 @@ def lookup_names(
     Small lookup table: one broadcast hash join per column, no shuffle. Large one with a
     row ``key`` given: the ids are stacked into (key, slot, id) rows, joined to the
     lookup table once, and pivoted back per key — one shuffle of the lookup table instead
-    of one per column. Without a key, one shuffle join per column.
+    of one per column. Without a key, one shuffle join per column. All ways give the same
+    rows: a lookup id that repeats counts once, with its smallest name.
     """
-    lookup = dim.select(dim_id, dim_name)
-    small = fits_broadcast(lookup, max_broadcast_bytes)
+    lookup = unique_on(dim, [dim_id], [dim_name])
+    small = fits_broadcast(dim.select(dim_id, dim_name), max_broadcast_bytes)
     if small or not key or len(id_cols) < 2:
         side = F.broadcast(lookup) if small else lookup
         out = df
@@ -97,13 +101,17 @@ def lookup_names(
             named = side.select(F.col(dim_id).alias(f"__id_{c}"), F.col(dim_name).alias(f"{c}{suffix}"))
             out = out.join(named, out[c] == named[f"__id_{c}"], "left").drop(f"__id_{c}")
         return out
-    keys = list(key)
+    # rows with the same key and ids get the same names, so copies of a row are no harm
+    keys = list(dict.fromkeys([*key, *id_cols]))
     slots = F.array(*[F.struct(F.lit(i).alias("slot"), F.col(c).alias("id")) for i, c in enumerate(id_cols)])
-    stacked = df.select(*keys, F.explode(slots).alias("__e")).select(*keys, "__e.slot", "__e.id")
-    named = stacked.filter(F.col("id").isNotNull()).join(
-        lookup.select(F.col(dim_id).alias("id"), F.col(dim_name).alias("__name")), "id", "inner"
+    stacked = df.select(*keys, F.explode(slots).alias("__e")).select(*keys, F.col("__e.slot").alias("__slot"), F.col("__e.id").alias("__id"))
+    named = stacked.filter(F.col("__id").isNotNull()).join(
+        lookup.select(F.col(dim_id).alias("__id"), F.col(dim_name).alias("__name")), "__id", "inner"
     )
-    wide = named.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("slot") == i, F.col("__name"))).alias(f"{c}{suffix}") for i, c in enumerate(id_cols)]
+    wide = named.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(
+        *[F.max(F.when(F.col("__slot") == i, F.col("__name"))).alias(f"{c}{suffix}") for i, c in enumerate(id_cols)]
     )
-    return df.join(wide, keys, "left")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return df.join(wide, same, "left").drop(*[f"__{k}" for k in keys])

@@ -7,59 +7,45 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tavola.session import materialize
 
-# A key with more rows than this is numbered in hash buckets of about this many rows.
-HOT_KEY_ROWS = 1_000_000
 
+# Copies of one row that a single array of numbers is made for.
+COPIES_AT_ONCE = 100_000
 
-def with_record_seq(
-    df: DataFrame, key: Sequence[str], out: str = "record_seq", hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
+
+def with_record_seq(df: DataFrame, key: Sequence[str], out: str = "record_seq") -> DataFrame:
     """Add ``out`` = 1..n inside each key, so that (key..., out) is unique and dense.
 
-    Ordinary keys are numbered by a window partitioned by the key and ordered by all
-    other columns. A key with more than ``hot_rows`` rows is split deterministically
-    into hash buckets of about ``hot_rows`` rows (identical copies included); rows are numbered inside
-    (key, bucket) and shifted by the sizes of the key's earlier buckets, so no task
-    sorts more than a bucket. Rows tied on every column are interchangeable, so the
-    multiset of ids is deterministic either way.
+    Rows of a key are numbered in the order of all their other columns, whatever their
+    number, the files they came from or the partitions they are in. Identical rows are first
+    reduced to one with a count; the distinct rows are cut into ranges of (key, other
+    columns), so that a key of any size spreads over many tasks; the ranges' sums per key
+    give where each range's numbers start; the counts are expanded last.
     """
     keys = list(key)
     rest = [c for c in df.columns if c not in keys]
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.filter(F.col("__n") > hot_rows).select(
-        *keys, F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__buckets")
+    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    # the range is written down once (checkpoint): all branches below read the same ranges
+    ordered = [F.col(c).asc_nulls_first() for c in rest]
+    ranged = distinct.repartitionByRange(*[F.col(c) for c in keys], *ordered) if df.columns else distinct
+    ranged = materialize(ranged.withColumn("__range", F.spark_partition_id()))
+    sums = ranged.groupBy(*keys, "__range").agg(F.sum("__n").alias("__rows"))
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(
+        *[F.col(k).alias(f"__{k}") for k in keys],
+        F.col("__range").alias("__of"),
+        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"),
     )
-    # The input partition index, taken before any shuffle: identical copies of a row
-    # (a "group of copies") then spread over buckets by where they were read. Copies are
-    # interchangeable, and a re-run reads each row from the same partition, so the
-    # numbering stays deterministic.
-    source = df.withColumn("__pid", F.spark_partition_id())
-    # At most (rows / hot_rows) hot keys exist: a size bound by construction, which the
-    # optimizer's estimate (inflated by the aggregate below) cannot see. Broadcasting it
-    # explicitly also keeps a hot key out of a shuffle join.
-    tagged = source.join(F.broadcast(hot), keys, "left")
-    row_hash = F.xxhash64(*[F.col(c) for c in rest], F.col("__pid"))
-    bucket = F.when(F.col("__buckets").isNotNull(), F.pmod(row_hash, F.col("__buckets"))).otherwise(F.lit(0))
-    tagged = tagged.withColumn("__bucket", bucket.cast("int")).drop("__buckets", "__pid")
-
-    w = Window.partitionBy(*keys, "__bucket").orderBy(*[F.col(c).asc_nulls_first() for c in rest])
-    local = tagged.withColumn("__local", F.row_number().over(w))
-
-    hot_rows_only = tagged.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
-    counts = hot_rows_only.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__c"))
-    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0))).drop("__c")
-
-    # One row per bucket of a hot key: at most 2 * rows / hot_rows rows.
-    numbered = local.join(F.broadcast(offsets), [*keys, "__bucket"], "left")
-    seq = (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).cast("bigint")
-    return numbered.select(*df.columns, seq.alias(out))
-
-
-def with_dense_record_id(df: DataFrame, order: Sequence[str], out: str = "record_id") -> DataFrame:
-    """1..n over the whole table, as an IDENTITY column would number a heap.
-
-    Only for small fixtures: one global ordering runs in a single task.
-    """
-    return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("int"))
+    inside = Window.partitionBy(*keys, "__range").orderBy(*ordered).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("__local", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+    same = F.col("__range") == F.col("__of")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    first = local.join(starts, same).withColumn("__first", F.col("__start") + F.col("__local"))
+    # copies in chunks, so that no array grows with a row's count
+    chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1, F.lit(COPIES_AT_ONCE).cast("bigint")))
+    chunks = first.select(*df.columns, "__first", "__n", chunk.alias("__chunk"))
+    copy = F.explode(F.sequence(F.col("__chunk"), F.least(F.col("__chunk") + COPIES_AT_ONCE, F.col("__n")) - 1))
+    numbered = chunks.select(*df.columns, "__first", copy.alias("__copy"))
+    return numbered.select(*df.columns, (F.col("__first") + F.col("__copy") + 1).cast("bigint").alias(out))

@@ -36,7 +36,7 @@ def get_spark(app: str = "tavola", master: str | None = None, **conf: str) -> Sp
     builder = builder.master(master or os.environ.get("TAVOLA_MASTER", "local[8]"))
     settings = dict(_LOCAL_DEFAULTS)
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
-    if "spark.sql.warehouse.dir" not in settings:
+    if "spark.sql.warehouse.dir" not in settings and _one_machine(master or os.environ.get("TAVOLA_MASTER", "local[8]")):
         # local sessions only: catalog tables go to a scratch folder, not the working dir
         settings["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="tavola-warehouse-")
     for key, value in settings.items():
@@ -47,15 +47,22 @@ def get_spark(app: str = "tavola", master: str | None = None, **conf: str) -> Sp
     return spark
 
 
+def _one_machine(master: str) -> bool:
+    """True for ``local``, ``local[...]``: the only masters a machine-local folder serves."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder checkpoints go to: the session's ``spark.checkpoint.dir`` (the shared
-    folder on a cluster), else the context's current one; only when neither exists
-    (local tests) a scratch folder is made. Returns the folder the context writes to."""
+    folder on a cluster), else the context's current one; only when neither exists and the
+    master is local (tests) a scratch folder is made. Returns the folder the context writes to."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None and not _one_machine(sc.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tavola-ckpt-"))
     return sc.getCheckpointDir()
 

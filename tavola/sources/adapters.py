@@ -16,7 +16,6 @@ from tavola.operators import adjust_tagged, enrich, item_lists
 from tavola.sources.testdata import Tables
 
 # Fixed values of the bindings (see README, "Binding to the scale tables").
-MEMBER_CUTOFF = "2024-01-05"  # first signups after this day are not members
 POINTS_UNTIL = "2024-01-25"  # end of the points period for the boost rule
 DOUBLE_POINT_TYPE = "PROMO"  # the item type that earns double points
 CANCELLED_STATUS = "P"  # order status read as "not delivered"
@@ -53,12 +52,10 @@ def event_sales(t: Tables) -> DataFrame:
     )
 
 
-def members(t: Tables, cutoff: str = MEMBER_CUTOFF) -> DataFrame:
-    """A user's first signup day is the join day; late first signups are not members."""
+def members(t: Tables) -> DataFrame:
+    """A user's first signup day is the join day."""
     first = t.events.filter(F.col("event_type") == "signup").groupBy("user_id").agg(F.min(F.to_date("ts")).alias("join_date"))
-    return first.filter(F.col("join_date") <= F.lit(cutoff).cast("date")).select(
-        F.col("user_id").alias("customer_id"), "join_date"
-    )
+    return first.select(F.col("user_id").alias("customer_id"), "join_date")
 
 
 # ---------------------------------------------------------------- delivery

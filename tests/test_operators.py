@@ -7,7 +7,6 @@ from tavola.operators import (
     check_split,
     joined_list,
     unique_on,
-    with_dense_record_id,
 )
 
 
@@ -18,13 +17,6 @@ def test_check_split_keeps_unknown_as_valid(spark):
     assert sorted(r.id for r in rejected.collect()) == [1, 4]
 
 
-def test_dense_record_id_numbers_whole_table(spark):
-    df = spark.createDataFrame([("b",), ("a",), ("c",)], "v string")
-    assert [(r.v, r.record_id) for r in with_dense_record_id(df, ["v"]).orderBy("record_id").collect()] == [
-        ("a", 1), ("b", 2), ("c", 3)
-    ]
-
-
 def test_numeric_guards(spark):
     vals = [" 12 ", "1.5", "$5", "1e3", "", None, "123.45", "12345.6"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")

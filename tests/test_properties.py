@@ -23,7 +23,7 @@ def _data(seed, n=400, hot_share=0.34):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_record_seq_dense_unique_with_hot_key(spark, seed):
     df = spark.createDataFrame(_data(seed), "k int, a int, b string, c int")
-    out = with_record_seq(df, ["k"], hot_rows=20).collect()  # key 0 is split into buckets
+    out = with_record_seq(df, ["k"]).collect()
     assert len(out) == df.count()
     per_key = defaultdict(list)
     for r in out:
@@ -83,23 +83,19 @@ def test_adjust_equals_python_multiset(spark, seed):
     assert got == dict(want)
 
 
-def test_record_seq_splits_a_hot_group_of_copies(spark):
-    rows_ = [(0, 1, "x", 1)] * 300 + _data(11, n=100)  # one row copied 300 times in key 0
-    df = spark.createDataFrame(rows_, "k int, a int, b string, c int").repartition(8)
-    out = with_record_seq(df, ["k"], hot_rows=40)
-    got = out.collect()
-    per_key = defaultdict(list)
-    for r in got:
-        per_key[r.k].append(r.record_seq)
-    for k, seqs in per_key.items():
-        assert sorted(seqs) == list(range(1, len(seqs) + 1)), k
-    assert Counter((r.k, r.a, r.b, r.c) for r in got) == Counter(rows_)
-    # the copies were numbered in several buckets, not one
-    plan_rows = (
-        df.withColumn("pid", F.spark_partition_id()).filter("k = 0 AND a = 1 AND b = 'x' AND c = 1")
-        .select("pid").distinct().count()
-    )
-    assert plan_rows > 1
+def test_record_seq_does_not_depend_on_the_layout(spark, monkeypatch):
+    from tavola.operators import record_id
+
+    rows_ = [(0, 1, "x", 1)] * 300 + _data(11, n=100) + [(None, 2, None, 1)] * 3  # one row copied 300 times in key 0
+    df = spark.createDataFrame(rows_, "k int, a int, b string, c int")
+    want = Counter()
+    for k in {r[0] for r in rows_}:
+        own = sorted((r for r in rows_ if r[0] == k), key=lambda r: tuple((v is not None, v) for v in r[1:]))
+        want.update((*r, n) for n, r in enumerate(own, 1))
+    for parts, chunk in ((1, 100_000), (6, 100_000), (8, 7)):
+        monkeypatch.setattr(record_id, "COPIES_AT_ONCE", chunk)
+        got = with_record_seq(df.repartition(parts), ["k"]).collect()
+        assert Counter(tuple(r) for r in got) == want
 
 
 def test_next_after_with_many_copies_of_one_instant(spark):

@@ -16,7 +16,7 @@ def test_streaming_spend_matches_batch(spark):
     t = load_tables(spark, SF)
     menu = A.menu(t)
     name = f"spend_stream_{uuid.uuid4().hex[:8]}"
-    q = run_incremental(diner.total_spend, event_sales_stream(spark, f"{SF}/events.parquet"), menu, name=name)
+    q = run_incremental(diner.total_spend, event_sales_stream(spark, f"{SF}/events.parquet"), menu, name=name, sink="memory")
     try:
         q.processAllAvailable()
         streamed = rows(spark.sql(f"SELECT * FROM {name}"))
@@ -41,7 +41,7 @@ def test_streaming_state_carries_across_micro_batches(spark, tmp_path):
         (flat / f"events_{i}.parquet").write_bytes(open(f, "rb").read())
     menu = A.menu(t)
     name = f"spend_batches_{uuid.uuid4().hex[:8]}"
-    q = run_incremental(diner.total_spend, event_sales_stream(spark, str(flat), max_files_per_trigger=1), menu, name=name)
+    q = run_incremental(diner.total_spend, event_sales_stream(spark, str(flat), max_files_per_trigger=1), menu, name=name, sink="memory")
     try:
         q.processAllAvailable()
         batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
