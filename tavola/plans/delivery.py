@@ -72,9 +72,11 @@ def enrich_name(co: DataFrame, pizza_names: DataFrame) -> DataFrame:
 
 
 # C03
-def enrich_cancellation(co: DataFrame, runner_orders_clean: DataFrame) -> DataFrame:
-    """Copy the order's cancellation to each of its pizzas (one runner row per order)."""
-    return enrich(co, runner_orders_clean, "order_id", ["cancellation"], dedupe=True)
+def enrich_cancellation(co: DataFrame, runner_orders_clean: DataFrame, unique: bool = False) -> DataFrame:
+    """Copy the order's cancellation to each of its pizzas (one runner row per order).
+
+    ``unique``: the caller knows that order_id does not repeat, so nothing is reduced first."""
+    return enrich(co, runner_orders_clean, "order_id", ["cancellation"], dedupe=not unique)
 
 
 # C04
@@ -256,6 +258,11 @@ def delivery_report(ratings: DataFrame, co: DataFrame, ro_clean: DataFrame) -> D
     )
     runs = ro_clean.select("order_id", "runner_id", as_timestamp("pickup_time").alias("pickup_time"), "distance", "duration")
     rows = ratings.select("order_id", "rating", "comments").join(per_order, "order_id", "left").join(runs, "order_id", "left")
+    return delivery_report_of_orders(rows)
+
+
+def delivery_report_of_orders(rows: DataFrame) -> DataFrame:
+    """C20 from one row per rated order that holds all of it."""
     return rows.select(
         "customer_id",
         "order_id",
@@ -375,12 +382,16 @@ def avg_pickup(ro_clean: DataFrame, co: DataFrame, per: str = "pizza") -> DataFr
     if per == "order":
         pizzas = pizzas.groupBy("order_id").agg(F.min("order_time").alias("order_time"), F.lit(1).alias("__n"))
     runs = ro_clean.select("order_id", "runner_id", as_timestamp("pickup_time").alias("pickup_time"))
-    rows = runs.filter(F.col("pickup_time").isNotNull()).join(pizzas, "order_id", "left")
+    rows = runs.join(pizzas, "order_id", "left")
+    return avg_pickup_of_orders(rows, F.col("__n"))
+
+
+def avg_pickup_of_orders(orders: DataFrame, weight: Column) -> DataFrame:
+    """B02 from one row per order (runner_id, order_time, pickup_time), each of a weight."""
+    rows = orders.filter(F.col("pickup_time").isNotNull()).withColumn("__w", weight)
     mins = F.abs(minutes_between("order_time", "pickup_time"))
-    weight = F.when(mins.isNotNull(), F.col("__n"))
-    return rows.groupBy("runner_id").agg(
-        round_ratio(F.sum(mins * F.col("__n")), F.coalesce(F.sum(weight), F.lit(0)), 2).alias("average_pickup_time")
-    )
+    total = F.coalesce(F.sum(F.when(mins.isNotNull(), F.col("__w"))), F.lit(0))
+    return rows.groupBy("runner_id").agg(round_ratio(F.sum(mins * F.col("__w")), total, 2).alias("average_pickup_time"))
 
 
 # B03
@@ -389,9 +400,12 @@ def prep_by_size(co: DataFrame, ro_clean: DataFrame) -> DataFrame:
         F.count("pizza_id").alias("no_of_pizza"), F.min(as_timestamp("order_time")).alias("order_time")
     )
     runs = ro_clean.select("order_id", as_timestamp("pickup_time").alias("pickup_time"))
-    prep = per_order.join(runs, "order_id", "left").withColumn(
-        "prep", minutes_between("order_time", "pickup_time")
-    ).filter(F.col("prep").isNotNull())
+    return prep_by_size_of_orders(per_order.join(runs, "order_id", "left"))
+
+
+def prep_by_size_of_orders(orders: DataFrame) -> DataFrame:
+    """B03 from one row per order (no_of_pizza, order_time, pickup_time)."""
+    prep = orders.withColumn("prep", minutes_between("order_time", "pickup_time")).filter(F.col("prep").isNotNull())
     return prep.groupBy("no_of_pizza").agg(round_ratio(F.sum("prep"), F.count("no_of_pizza"), 2).alias("avg_preparation"))
 
 
@@ -403,7 +417,11 @@ def avg_distance(co: DataFrame, ro_clean: DataFrame) -> DataFrame:
     weighted by its pizza count, which equals averaging over the pizza rows.
     """
     per_order = co.groupBy("order_id", "customer_id").agg(F.count(F.lit(1)).alias("__n"))
-    rows = per_order.join(ro_clean.select("order_id", "distance"), "order_id", "left")
+    return avg_distance_of_orders(per_order.join(ro_clean.select("order_id", "distance"), "order_id", "left"))
+
+
+def avg_distance_of_orders(rows: DataFrame) -> DataFrame:
+    """B04 from one row per order and customer: distance, and ``__n`` pizzas."""
     num = F.sum((F.col("distance") * _SCALE).cast("decimal(38,0)") * F.col("__n"))
     den = F.coalesce(F.sum(F.when(F.col("distance").isNotNull(), F.col("__n"))), F.lit(0)) * _SCALE
     return rows.groupBy("customer_id").agg(round_ratio(num, den, 2).alias("avg_distance"))
@@ -485,7 +503,11 @@ def profit(
     """
     per_order = co.groupBy("order_id").agg(F.sum(price_of(F.col(col), prices, default)).alias("rev"))
     runs = ro_clean.filter(_delivered()).select("order_id", "distance")
-    rows = runs.join(per_order, "order_id", "inner")
+    return profit_of_orders(runs.join(per_order, "order_id", "inner"), cost_per_km)
+
+
+def profit_of_orders(rows: DataFrame, cost_per_km: str = "0.30") -> DataFrame:
+    """E05 from one row per delivered order: distance, and ``rev`` of its pizzas."""
     pay = F.col("distance") * F.lit(cost_per_km).cast("decimal(4,2)")
     return rows.agg(to_money(F.sum("rev") - F.sum(pay)).alias("left_earn"))
 

@@ -113,16 +113,21 @@ def _dl(spark, sf):
     return t, A.delivery(t)
 
 
-def _coc(t, d):
-    """customer_orders_clean: pizza name and the order's cancellation on every pizza."""
-    return D.enrich_cancellation(D.enrich_name(d.customer_orders, d.pizza_names), d.runner_orders)
+def _coc(d):
+    """Pizza name and the order's cancellation on every pizza, each table read once: the lines
+    take the cancellation from the order's own row."""
+    return D.enrich_cancellation(D.enrich_name(d.lines, d.pizza_names), d.cancellations, unique=True)
+
+
+def _rating(col):
+    return csv_part(col, 1, "-", "int")
 
 
 def _ratings(t):
     """Delivered orders rated by the number leading their priority text ('1-URGENT' -> 1)."""
     return t.orders.filter(F.col("o_orderstatus") != A.CANCELLED_STATUS).select(
         F.col("o_orderkey").alias("order_id"),
-        csv_part("o_orderpriority", 1, "-", "int").alias("rating"),
+        _rating("o_orderpriority").alias("rating"),
         F.col("o_orderpriority").alias("comments"),
     )
 
@@ -143,7 +148,7 @@ def _c02(spark, sf):
 @register("C03_enrich_cancellation")
 def _c03(spark, sf):
     t, d = _dl(spark, sf)
-    return D.enrich_cancellation(d.customer_orders, d.runner_orders).select("order_id", "pizza_id", "cancellation")
+    return D.enrich_cancellation(d.lines, d.cancellations, unique=True).select("order_id", "pizza_id", "cancellation")
 
 
 @register("C04_strip_units")
@@ -270,7 +275,8 @@ def _c19(spark, sf):
 @register("C20_delivery_report")
 def _c20(spark, sf):
     t, d = _dl(spark, sf)
-    return D.delivery_report(D.ratings_valid(_ratings(t)), d.customer_orders, d.runner_orders)
+    rows = A.order_rows(t).filter(F.col("cancellation").isNull())
+    return D.delivery_report_of_orders(D.ratings_valid(rows.withColumn("rating", _rating("comments"))))
 
 
 @register("E03_ratings_valid")
@@ -302,7 +308,7 @@ def _a03(spark, sf):
 @register("A04_delivered_by_type")
 def _a04(spark, sf):
     t, d = _dl(spark, sf)
-    return D.delivered_by_type(_coc(t, d), d.runner_orders)
+    return D.delivered_by_type(D.enrich_name(d.lines, d.pizza_names), d.cancellations)
 
 
 @register("A05_type_by_customer")
@@ -313,19 +319,19 @@ def _a05(spark, sf):
 @register("A06_max_in_order")
 def _a06(spark, sf):
     t, d = _dl(spark, sf)
-    return D.max_in_order(_coc(t, d))
+    return D.max_in_order(D.enrich_cancellation(d.lines, d.cancellations, unique=True))
 
 
 @register("A07_changes_by_customer")
 def _a07(spark, sf):
     t, d = _dl(spark, sf)
-    return D.changes_by_customer(_coc(t, d))
+    return D.changes_by_customer(d.customer_orders)
 
 
 @register("A08_both_changes")
 def _a08(spark, sf):
     t, d = _dl(spark, sf)
-    return D.both_changes(_coc(t, d))
+    return D.both_changes(d.customer_orders)
 
 
 def _purchases(spark, sf):
@@ -357,13 +363,13 @@ def _b01b(spark, sf):
 @register("B02_avg_pickup")
 def _b02(spark, sf):
     t, d = _dl(spark, sf)
-    return D.avg_pickup(d.runner_orders, d.customer_orders)
+    return D.avg_pickup_of_orders(A.order_rows(t).filter("has_lines"), F.col("pizza_rows"))
 
 
 @register("B02_avg_pickup_per_order")
 def _b02b(spark, sf):
     t, d = _dl(spark, sf)
-    return D.avg_pickup(d.runner_orders, d.customer_orders, per="order")
+    return D.avg_pickup_of_orders(A.order_rows(t).filter("has_lines"), F.lit(1))
 
 
 @register("B02_signup_to_purchase")
@@ -384,13 +390,14 @@ def _b02c(spark, sf):
 @register("B03_prep_by_size")
 def _b03(spark, sf):
     t, d = _dl(spark, sf)
-    return D.prep_by_size(d.customer_orders, d.runner_orders)
+    orders = A.order_rows(t).filter("has_lines").withColumnRenamed("total_pizzas", "no_of_pizza")
+    return D.prep_by_size_of_orders(orders)
 
 
 @register("B04_avg_distance")
 def _b04(spark, sf):
     t, d = _dl(spark, sf)
-    return D.avg_distance(d.customer_orders, d.runner_orders)
+    return D.avg_distance_of_orders(A.order_rows(t).filter("has_lines").withColumnRenamed("pizza_rows", "__n"))
 
 
 @register("B05_duration_spread")
@@ -472,7 +479,7 @@ _PRICES = {A.DOUBLE_POINT_TYPE: 12}
 @register("E01_revenue")
 def _e01(spark, sf):
     t, d = _dl(spark, sf)
-    return D.revenue(_coc(t, d), _PRICES, 10)
+    return D.revenue(_coc(d), _PRICES, 10)
 
 
 @register("E02_revenue_with_extras")
@@ -480,10 +487,13 @@ def _e02(spark, sf):
     t, d = _dl(spark, sf)
     has_extra = F.col("extras").isNotNull()
     premium = has_extra & (F.col("flag") == "A")
-    return D.revenue_with_extras(_coc(t, d), _PRICES, 10, premium, has_extra)
+    return D.revenue_with_extras(D.enrich_name(d.customer_orders, d.pizza_names), _PRICES, 10, premium, has_extra)
 
 
 @register("E05_profit")
 def _e05(spark, sf):
     t, d = _dl(spark, sf)
-    return D.profit(_coc(t, d), d.runner_orders, _PRICES, col="pizza_name", default=10)
+    named = D.enrich_name(t.lineitem.withColumnRenamed("l_partkey", "pizza_id"), d.pizza_names)
+    priced = D.price_of(F.col("pizza_name"), _PRICES, 10)
+    orders = A.order_rows(t, named.withColumnRenamed("pizza_id", "l_partkey"), priced)
+    return D.profit_of_orders(orders.filter(F.col("has_lines") & F.col("cancellation").isNull()))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tavola.functions.clean import numeric_cast
@@ -69,6 +69,18 @@ class Delivery:
     def customer_orders(self) -> DataFrame:  # one row per pizza (order line)
         return customer_orders(self.t)
 
+    @cached_property
+    def lines(self) -> DataFrame:  # (order_id, pizza_id) per pizza, from the order lines alone
+        return self.t.lineitem.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("pizza_id"))
+
+    @cached_property
+    def cancellations(self) -> DataFrame:
+        """(order_id, cancellation) of every order; o_orderkey is the table's key."""
+        status = F.col("o_orderstatus")
+        return self.t.orders.select(
+            F.col("o_orderkey").alias("order_id"), F.when(status == CANCELLED_STATUS, status).alias("cancellation")
+        )
+
     @cached_property
     def runner_orders(self) -> DataFrame:  # one row per order
         return runner_orders(self.t)
@@ -144,6 +156,43 @@ def customer_orders(t: Tables) -> DataFrame:
         F.col("o_orderdate").alias("order_time"),
         F.col("l_returnflag").alias("flag"),
         F.col("l_linenumber").alias("line"),
+        F.when(F.col("o_orderstatus") == CANCELLED_STATUS, F.col("o_orderstatus")).alias("cancellation"),
+    )
+
+
+def order_rows(t: Tables, lines: DataFrame | None = None, value: Column | None = None) -> DataFrame:
+    """One row per order with all that the per-order answers need, each table read once: the
+    lines are summed up per order and joined once to the orders. ``value`` (over ``lines``, by
+    default the order lines) is summed up as ``rev``. Cancelled orders have no pickup time,
+    distance and duration."""
+    lines = t.lineitem if lines is None else lines
+    sums = [F.sum(value).alias("rev")] if value is not None else []
+    per_order = lines.groupBy("l_orderkey").agg(
+        F.min("l_suppkey").alias("runner_id"),
+        F.min("l_shipdate").alias("first_ship"),
+        F.max("l_shipdate").alias("last_ship"),
+        F.sum(F.col("l_quantity").cast("decimal(12,1)")).alias("qty"),
+        F.count("l_partkey").alias("total_pizzas"),
+        F.count(F.lit(1)).alias("pizza_rows"),
+        *sums,
+    )
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    live = F.col("o_orderstatus") != CANCELLED_STATUS
+    rows = orders.join(per_order, per_order.l_orderkey == orders.o_orderkey, "left")
+    return rows.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("l_orderkey").isNotNull().alias("has_lines"),
+        F.when(F.col("l_orderkey").isNotNull(), F.col("o_custkey")).alias("customer_id"),
+        F.when(F.col("l_orderkey").isNotNull(), F.col("o_orderdate").cast("timestamp_ntz")).alias("order_time"),
+        "total_pizzas",
+        "pizza_rows",
+        "runner_id",
+        F.when(live, F.col("first_ship").cast("timestamp_ntz")).alias("pickup_time"),
+        F.when(live, F.col("qty")).alias("distance"),
+        F.when(live, F.datediff(F.to_date("last_ship"), F.to_date("o_orderdate"))).cast("bigint").alias("duration"),
+        F.when(~live, F.col("o_orderstatus")).alias("cancellation"),
+        F.col("o_orderpriority").alias("comments"),
+        *["rev" for _ in sums],
     )
 
 

@@ -90,3 +90,16 @@ def test_session_cap_turns_size_based_broadcasts_off(spark):
     finally:
         spark.conf.unset("tavola.broadcast.maxBytes")
     assert "broadcast" in broadcast_if_small(part)._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize(
+    "name", ["C03_enrich_cancellation", "A04_delivered_by_type", "A06_max_in_order", "A07_changes_by_customer", "A08_both_changes",
+             "B02_avg_pickup", "B02_avg_pickup_per_order", "B03_prep_by_size", "B04_avg_distance", "C20_delivery_report",
+             "E04_delivery_report", "E01_revenue", "E02_revenue_with_extras", "E05_profit"],
+)
+def test_delivery_answers_read_each_table_once(spark, name):
+    from tavola.plans.registry import QUERIES
+
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey") and len([x for x in plan.splitlines() if "Relation" in x and "l_orderkey" in x]) == 1
+    assert len([x for x in plan.splitlines() if "Relation" in x and "o_orderkey" in x]) == 1
