@@ -1,3 +1,92 @@
-"""DuckDB SQL for the queries that SQL can state."""
+"""DuckDB SQL for the queries that SQL can state.
 
-ORACLE_SQL: dict[str, str] = {}
+The others have none: nearest neighbours found by an index, trained models, encodings by a
+vocabulary, bin packing, and a shuffle by Spark's hash. tests/llm holds those against brute force.
+"""
+
+OP2 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+classes AS (SELECT min(doc_id) AS c, s, len(s) AS n FROM (SELECT doc_id, list_sort(s) AS s FROM sets WHERE len(s) > 0) GROUP BY s),
+shingles AS (SELECT c, n, unnest(s) AS x FROM classes),
+common AS (
+  SELECT a.c AS u, b.c AS v, any_value(a.n) AS m, any_value(b.n) AS n, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.x = b.x AND a.c < b.c GROUP BY a.c, b.c),
+links AS (
+  SELECT u, v FROM common WHERE 100 * k >= 85 * (m + n - k)
+  UNION SELECT v, u FROM common WHERE 100 * k >= 85 * (m + n - k)),
+reach AS (
+  SELECT c AS a, c AS b FROM classes
+  UNION SELECT r.a, l.v FROM reach r JOIN links l ON r.b = l.u),
+comps AS (SELECT a AS c, min(b) AS comp FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(p.comp, d.doc_id) AS component_id,
+       d.doc_id = coalesce(p.comp, d.doc_id) AS kept
+FROM sets d LEFT JOIN classes c ON list_sort(d.s) = c.s LEFT JOIN comps p ON p.c = c.c
+"""
+
+# A lookbehind cut after a separator equals taking pieces up to and with the next separator. Runs
+# of three line breaks, where the two would differ, are not in the tables.
+_TREE = r"""list_transform(regexp_extract_all({text}, '(?s).*?\n\n|.+$'), lambda section:
+    list_transform(regexp_extract_all(section, '(?s).*?\n|.+$'), lambda paragraph:
+      list_transform(regexp_extract_all(paragraph, '(?s).*?[.!?] |.+$'), lambda sentence: sha256('leaf:' || sentence))))"""
+_ROOT = """sha256('document:' || array_to_string(list_transform({tree}, lambda ps: sha256('section:' ||
+    array_to_string(list_transform(ps, lambda ls: sha256('paragraph:' || array_to_string(ls, ''))), ''))), ''))"""
+_LIKE = """CASE WHEN len({a}) + len({b}) = 0 THEN 1.0 ELSE CAST(len(list_intersect({a}, {b})) AS DOUBLE)
+    / (len({a}) + len({b}) - len(list_intersect({a}, {b}))) END"""
+
+OP3 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (
+  SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n_chars,
+         coalesce(lead(text) OVER w, first_value(text) OVER w) AS following
+  FROM d WINDOW w AS (ORDER BY doc_id, text)),
+e AS (
+  SELECT *, substring(text, 1, n_chars - n_chars // 2) || substring(following, 1, n_chars // 2) AS edited FROM n),
+t AS (
+  SELECT doc_id, n_chars, edited, {_TREE.format(text='text')} AS own, {_TREE.format(text='edited')} AS changed,
+         {_TREE.format(text='following')} AS after
+  FROM e),
+l AS (
+  SELECT *, list_distinct(flatten(flatten(own))) AS a, list_distinct(flatten(flatten(changed))) AS b,
+         list_distinct(flatten(flatten(after))) AS c FROM t)
+SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, {_ROOT.format(tree='own')} AS fingerprint,
+       {_ROOT.format(tree='changed')} AS edited_fingerprint, {_LIKE.format(a='a', b='b')} AS near_edited,
+       {_LIKE.format(a='a', b='c')} AS near_next
+FROM l
+"""
+
+OP7 = r"""
+WITH c AS (
+  SELECT conv_id, turn, role, trim(coalesce(text, ''), E' \t\n\r\v\f') AS text,
+         lower(regexp_replace(trim(coalesce(text, ''), E' \t\n\r\v\f'), '\s+', ' ', 'g')) AS same FROM conversations),
+o AS (
+  SELECT *, lag(same, 1) OVER w AS one, lag(same, 2) OVER w AS two
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+f AS (SELECT conv_id, same, min(turn) AS first FROM c WHERE same <> '' GROUP BY conv_id, same),
+p AS (
+  SELECT o.*, f.first AS parent_turn, g.first AS second
+  FROM o LEFT JOIN f ON f.conv_id = o.conv_id AND f.same = o.one AND f.first < o.turn
+  LEFT JOIN f g ON g.conv_id = o.conv_id AND g.same = o.two AND g.first < o.turn),
+r AS (
+  WITH RECURSIVE up AS (
+    SELECT conv_id, turn, turn AS place, 0 AS depth FROM p
+    UNION ALL
+    SELECT up.conv_id, up.turn, p.parent_turn, up.depth + 1
+    FROM up JOIN p ON p.conv_id = up.conv_id AND p.turn = up.place AND p.parent_turn IS NOT NULL)
+  SELECT conv_id, turn, min(place) AS first_turn, max(depth) AS depth FROM up GROUP BY conv_id, turn)
+SELECT p.conv_id, p.turn, p.role, p.text,
+       CAST((coalesce(one, '') <> '')::INT + (coalesce(two, '') <> '')::INT AS INT) AS n_quotes,
+       CAST((parent_turn IS NOT NULL)::INT + (second IS NOT NULL)::INT AS INT) AS n_linked,
+       parent_turn, first_turn, CAST(depth AS INT) AS depth
+FROM p JOIN r ON r.conv_id = p.conv_id AND r.turn = p.turn
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2, "op3_merkle": OP3, "op7_quote_linking": OP7}
