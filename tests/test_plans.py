@@ -5,9 +5,10 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from tavola.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 def _plan(df) -> str:
@@ -98,8 +99,6 @@ def test_session_cap_turns_size_based_broadcasts_off(spark):
              "E04_delivery_report", "E01_revenue", "E02_revenue_with_extras", "E05_profit"],
 )
 def test_delivery_answers_read_each_table_once(spark, name):
-    from tavola.plans.registry import QUERIES
-
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("l_orderkey") and len([x for x in plan.splitlines() if "Relation" in x and "l_orderkey" in x]) == 1
     assert len([x for x in plan.splitlines() if "Relation" in x and "o_orderkey" in x]) == 1

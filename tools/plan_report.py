@@ -36,7 +36,7 @@ def shape(plan: str) -> dict[str, int | str]:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    from tavola.plans.registry import QUERIES
 
     spark = get_spark("plan-report")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -44,7 +44,7 @@ def main() -> None:
     def shapes() -> list[tuple[str, dict]]:
         return [
             (name, shape(fn(spark, sf)._jdf.queryExecution().executedPlan().toString()))
-            for name, fn in E.queries().items()
+            for name, fn in QUERIES.items()
         ]
 
     rows = shapes()
