@@ -7,6 +7,7 @@ from tavola.operators.joins import (
     estimated_bytes,
     fits_broadcast,
     lookup_names,
+    splittable,
     unique_on,
 )
 from tavola.operators.multiset import adjust, adjust_tagged, copies_list, format_list, item_lists, joined_list, total_by_item
@@ -35,6 +36,7 @@ __all__ = [
     "rows_at_extreme",
     "top_one",
     "total_by_item",
+    "splittable",
     "unique_on",
     "with_record_seq",
 ]

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tavola.session import materialize
+
 # Upper bound for hinting a broadcast; above it the join is left to a shuffle join
 # (and to AQE, which may still broadcast once it has seen the real size).
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -43,6 +45,16 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
+def splittable(side: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """An aggregated side that raw rows with a hot key join: broadcast while it is small, else
+    written to the checkpoint folder first. AQE splits a hot partition only when both sides
+    of the join sit directly on its shuffles; read back, the aggregate does. A streaming side is
+    left as it is."""
+    if fits_broadcast(side, max_bytes):
+        return F.broadcast(side)
+    return side if side.isStreaming else materialize(side)
+
+
 def unique_on(dim: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """One row per key: the smallest values win where the lookup table repeats a key.
 
@@ -71,7 +83,8 @@ def enrich(
         side = unique_on(side, keys, values)
     if rename:
         side = side.select(*keys, *[F.col(v).alias(rename.get(v, v)) for v in values])
-    return df.join(broadcast_if_small(side, max_broadcast_bytes), keys, "left")
+    ready = splittable if dedupe else broadcast_if_small
+    return df.join(ready(side, max_broadcast_bytes), keys, "left")
 
 
 def lookup_names(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tavola.operators.joins import broadcast_if_small
+from tavola.operators.joins import broadcast_if_small, splittable
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -35,7 +35,7 @@ def keep_max_ties(df: DataFrame, measure: str, group: str | Sequence[str] = ())
     # partitioning) and keep the rows at the maximum. ``>=`` equals ``==`` here (nothing
     # exceeds its maximum) but, unlike ``==``, is not turned into a second join key,
     # which would force both sides to be re-shuffled on (keys, measure).
-    tops = broadcast_if_small(df.groupBy(*keys).agg(F.max(measure).alias("__max")))
+    tops = splittable(df.groupBy(*keys).agg(F.max(measure).alias("__max")))
     return df.join(tops, keys, "inner").filter(F.col(measure) >= F.col("__max")).drop("__max")
 
 
@@ -57,7 +57,7 @@ def rows_at_extreme(
     # One extreme per key: join on the key only (reusing the aggregate's partitioning) and
     # keep the rows at the extreme; a one-sided comparison (nothing passes its own
     # extreme) stays a filter instead of becoming a second join key.
-    ext = broadcast_if_small(df.groupBy(*keys).agg(agg.alias("__ext")))
+    ext = splittable(df.groupBy(*keys).agg(agg.alias("__ext")))
     at_extreme = F.col(by) <= F.col("__ext") if which == "min" else F.col(by) >= F.col("__ext")
     return df.join(ext, keys, "inner").filter(at_extreme).drop("__ext")
 

