@@ -12,6 +12,7 @@ from tavola.operators import next_after
 from tavola.plans import delivery as D
 from tavola.plans import diner
 from tavola.plans import ingredients as I
+from tavola.plans import raw_feed
 from tavola.sources import adapters as A
 from tavola.sources.testdata import load_tables
 
@@ -497,3 +498,7 @@ def _e05(spark, sf):
     priced = D.price_of(F.col("pizza_name"), _PRICES, 10)
     orders = A.order_rows(t, named.withColumnRenamed("pizza_id", "l_partkey"), priced)
     return D.profit_of_orders(orders.filter(F.col("has_lines") & F.col("cancellation").isNull()))
+
+
+# ---------------------------------------------------------------- messy text feeds
+QUERIES.update(raw_feed.KEYS)
