@@ -46,7 +46,7 @@ from tavola.operators.joins import broadcast_if_small
 
 END_ID = 2
 #: Documents of a part (a range of doc_ids), ids of a block.
-PART_DOCS = 16_384
+PART_DOCS = 4_096
 BLOCK_TOKENS = 1_000_000
 #: Entries of a generation of a worker's word memo; longer words are not kept.
 WORD_MEMO = 400_000
