@@ -47,8 +47,9 @@ HASHES = BANDS * BAND_ROWS
 BATCH = 16
 #: A pair goes when its similarity is this unlikely to reach the threshold.
 MISS = 1e-7
-#: Classes on each side of a cell.
+#: Classes on each side of a cell, and their shingles (8 bytes each) unless one text has more.
 CELL = 512
+CELL_SHINGLES = 4_000_000
 #: Documents whose shingles are hashed together, and words of a memo.
 CHUNK = 256
 WORD_MEMO = 400_000
@@ -354,9 +355,11 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     bands = stash(banded(docs), "bands")
     exact = bands.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    rep = exact.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
+    rep = exact.groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+    )
     rep = stash(rep, "classes")
-    nodes = rep.groupBy("id").agg(F.min(F.struct("h1", "h2", "bands")).alias("of")).select("id", "of.*")
+    nodes = rep.groupBy("id").agg(F.min(F.struct("h1", "h2", "n", "bands")).alias("of")).select("id", "of.*")
 
     # buckets of two classes or more; those of the same members are one
     rows = nodes.select(F.explode("bands").alias("key"), "id")
@@ -366,17 +369,19 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     buckets = stash(sums.groupBy("m", "low", "high", "of").agg(F.min("key").alias("key")).select("key", "m"), "buckets")
     members = stash(rows.join(broadcast_if_small(buckets), "key").select("key", "m", "id"), "members")
     weights = members.groupBy("id").agg(F.sum("m").alias("weight"))
-    wanted = stash(weights.join(nodes.select("id", "h1", "h2"), "id"), "wanted")
+    wanted = stash(weights.join(nodes.select("id", "h1", "h2", "n"), "id"), "wanted")
     sets = stash(full_sets(docs, wanted), "sets")
 
     # every member against its bucket's centre; the buckets of one centre are one group
     weighed = members.join(broadcast_if_small(wanted.select("id", "weight")), "id")
+    lengths = broadcast_if_small(wanted.select("id", "n"))
     centre = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("top"))
     centre = stash(centre.select("key", (-F.col("top.minus")).alias("centre")), "centres")
     pairs = members.join(broadcast_if_small(centre), "key").filter("id <> centre").select("centre", "id").distinct()
-    pairs = stash(pairs, "pairs")
-    sizes = stash(pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("others")), "groups")
-    cells = F.ceil(F.col("others") / F.lit(CELL)).cast("int")
+    pairs = stash(pairs.join(lengths, "id").select("centre", "id", "n"), "pairs")
+    sizes = stash(pairs.groupBy("centre").agg(F.count(F.lit(1)).alias("others"), F.sum("n").alias("shingles")), "groups")
+    blocks_of = lambda count, shingles: F.ceil(F.greatest(F.col(count) / CELL, F.col(shingles) / CELL_SHINGLES)).cast("int")
+    cells = blocks_of("others", "shingles")
     rest = pairs.join(broadcast_if_small(sizes), "centre")
     rest = rest.select("centre", F.pmod(F.xxhash64("id"), cells).cast("int").alias("cell"), "id", F.lit(1).alias("side"))
     heads = sizes.select("centre", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), F.col("centre").alias("id"), F.lit(0).alias("side"))
@@ -387,17 +392,20 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
 
     # groups of three or more that still span components: what is outside a group's largest
     # component against all of the group
-    groups = pairs.select("centre", "id").unionByName(sizes.filter("others > 1").select("centre", F.col("centre").alias("id")))
-    groups = _with_comps(groups, comps)
-    share = groups.groupBy("centre", "comp").agg(F.count(F.lit(1)).alias("n"))
+    heads = sizes.filter("others > 1").select("centre", F.col("centre").alias("id")).join(lengths, "id").select("centre", "id", "n")
+    groups = _with_comps(pairs.unionByName(heads), comps)
+    share = groups.groupBy("centre", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
     main = share.groupBy("centre").agg(
-        F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("m"), F.count(F.lit(1)).alias("parts")
-    ).filter("m > 2 AND parts > 1")
-    main = stash(main.select("centre", F.col("main.comp").alias("main"), F.col("main.n").alias("in_main"), "m"), "open-groups")
+        F.max(F.struct("c", "comp", "s")).alias("main"), F.sum("c").alias("c"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("parts")
+    ).filter("c > 2 AND parts > 1")
+    main = main.select(
+        "centre", F.col("main.comp").alias("main"), F.col("main.c").alias("main_c"), F.col("main.s").alias("main_s"),
+        (F.col("c") - F.col("main.c")).alias("rest_c"), (F.col("s") - F.col("main.s")).alias("rest_s"),
+    )
+    main = stash(main, "open-groups")
     blocked = groups.join(broadcast_if_small(main), "centre")
     inside = F.col("comp") == F.col("main")
-    main_blocks = F.ceil(F.col("in_main") / F.lit(CELL)).cast("int")
-    rest_blocks = F.ceil((F.col("m") - F.col("in_main")) / F.lit(CELL)).cast("int")
+    main_blocks, rest_blocks = blocks_of("main_c", "main_s"), blocks_of("rest_c", "rest_s")
     many = F.when(inside, main_blocks).otherwise(rest_blocks)
     blocked = blocked.withColumn("block", F.pmod(F.xxhash64("id"), many).cast("int"))
     pair = lambda a, b, side: F.struct(a.alias("x"), b.alias("y"), side.alias("side"))
