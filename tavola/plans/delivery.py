@@ -234,6 +234,14 @@ def adjusted_rows(adjusted: DataFrame, key: Sequence[str] = ("record_id",), sep:
     return adjusted.select(*key, "pizza_name", F.explode(csv_items("adjust_full_recipe", sep)).alias("topping"))
 
 
+def adjusted_copies(qty: DataFrame, records: DataFrame, key: Sequence[str] = ("record_id",)) -> DataFrame:
+    """C17 straight from the multiset (key..., item, qty): every copy a row, no list in between,
+    so a name that holds the separator stays whole."""
+    rows = records.select(*key, "pizza_name").join(qty.select(*key, "item", "qty"), list(key), "inner")
+    copies = F.explode(F.array_repeat("item", F.col("qty").cast("int")))
+    return rows.select(*key, "pizza_name", copies.alias("topping"))
+
+
 def drop_blank(df: DataFrame, col: str = "topping") -> DataFrame:
     """C18: remove NULL or blank tokens."""
     return df.filter(F.col(col).isNotNull() & (F.trim(F.col(col)) != ""))

@@ -257,7 +257,7 @@ def _c16(spark, sf):
 @register("C17_adjusted_rows")
 def _c17(spark, sf):
     t, d = _dl(spark, sf)
-    return D.adjusted_rows(D.adjusted_recipe(_qty(d), d.records))
+    return D.adjusted_copies(_qty(d), d.records)
 
 
 @register("C18_drop_blank")

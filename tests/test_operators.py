@@ -33,3 +33,12 @@ def test_unique_on_and_joined_list_with_copies(spark):
     df = spark.createDataFrame(rows, "k int, o int, v string")
     out = {r.k: r.items for r in joined_list(df, "k", "v", order="o", sep="|").collect()}
     assert out[2] == "z" and out[1].split("|")[0] == "x" and out[1].count("y") == 500
+
+
+def test_adjusted_copies_keep_a_name_with_the_separator(spark):
+    from tavola.plans.delivery import adjusted_copies
+
+    qty = spark.createDataFrame([(1, "a, b", 2), (1, "c", 1), (2, "c", 0)], "record_id int, item string, qty long")
+    records = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "record_id int, pizza_name string")
+    got = sorted(tuple(r) for r in adjusted_copies(qty, records).collect())
+    assert got == [(1, "x", "a, b"), (1, "x", "a, b"), (1, "x", "c")]
