@@ -441,14 +441,16 @@ def duration_spread(ro_clean: DataFrame) -> DataFrame:
 
 
 # B06
-def speed(ro_clean: DataFrame) -> DataFrame:
-    return ro_clean.filter(F.col("duration").isNotNull()).select(
+def speed(ro_clean: DataFrame, ordered: bool = False) -> DataFrame:
+    """``ordered``: shortest distance first, ties by order (a range-partitioned global sort)."""
+    out = ro_clean.filter(F.col("duration").isNotNull()).select(
         "runner_id",
         "order_id",
         to_money("distance").alias("distance"),
         F.col("duration").cast("bigint").alias("duration"),
         _speed("distance", "duration", 2).alias("speed_kmph"),
     )
+    return out.orderBy("distance", "order_id") if ordered else out
 
 
 # B07

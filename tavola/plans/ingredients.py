@@ -111,17 +111,25 @@ def order_label(
 
 # I05
 def ingredient_list(
-    qty: DataFrame, records: DataFrame, key: Sequence[str] = ("record_id",), divisor: int = 1, sep: str = ", "
+    qty: DataFrame,
+    records: DataFrame,
+    key: Sequence[str] = ("record_id",),
+    divisor: int = 1,
+    sep: str = ", ",
+    ordered: bool = False,
 ) -> DataFrame:
     """(key..., pizza_name, list_order): 'Meatlovers: 2xBacon, Beef, …', alphabetical.
 
+    ``ordered``: rows by key and pizza name (a range-partitioned global sort).
+
     ``divisor`` > 1 reproduces a count taken over a table loaded that many times.
     """
     keys = list(key)
     shown = qty.withColumn("qty", (F.col("qty") / divisor).cast("bigint")).filter(F.col("qty") > 0) if divisor != 1 else qty
     lists = format_list(shown, keys, sep=sep, out="__items")
     out = records.select(*keys, "pizza_name").join(lists, keys, "inner")
-    return out.select(*keys, "pizza_name", F.concat_ws("", F.col("pizza_name"), F.lit(": "), F.col("__items")).alias("list_order"))
+    out = out.select(*keys, "pizza_name", F.concat_ws("", F.col("pizza_name"), F.lit(": "), F.col("__items")).alias("list_order"))
+    return out.orderBy(*keys, "pizza_name") if ordered else out
 
 
 # I06

@@ -42,3 +42,18 @@ def test_adjusted_copies_keep_a_name_with_the_separator(spark):
     records = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "record_id int, pizza_name string")
     got = sorted(tuple(r) for r in adjusted_copies(qty, records).collect())
     assert got == [(1, "x", "a, b"), (1, "x", "a, b"), (1, "x", "c")]
+
+
+def test_final_order_is_the_callers_option(spark):
+    from tavola.plans.delivery import speed
+    from tavola.plans.ingredients import ingredient_list
+
+    runs = [(i, 1, float(10 - i), 30) for i in range(8)] + [(9, 1, 5.0, 30), (10, 1, 1.0, None)]
+    ro = spark.createDataFrame(runs, "order_id int, runner_id int, distance double, duration int")
+    ro = ro.withColumn("distance", F.col("distance").cast("decimal(10,1)")).repartition(4)
+    got = [(r.distance, r.order_id) for r in speed(ro, ordered=True).collect()]
+    assert got == sorted(got) and len(got) == 9
+    qty = spark.createDataFrame([(i, "x", 1) for i in range(9, 0, -1)], "record_id int, item string, qty long")
+    records = spark.createDataFrame([(i, p) for i in range(9, 0, -1) for p in "ba"], "record_id int, pizza_name string")
+    rows = [(r.record_id, r.pizza_name) for r in ingredient_list(qty, records, ordered=True).collect()]
+    assert rows == sorted(rows) and len(rows) == 18
