@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from tavola.llm._shared import table, whole_text
 
 #: Entries of a generation of a worker's memos; longer keys are not kept.
-CHUNK_MEMO = 400_000
-PIECE_MEMO = 200_000
+CHUNK_MEMO = 300_000
+PIECE_MEMO = 150_000
 MEMO_CHARS = 64
 PAIR_MEMO = 400_000
 SPACE_INSIDE = re.compile(r"(?:\s|^) (?:\s|$)")
@@ -51,14 +51,14 @@ class Memo(dict):
     def __init__(self, most: int):
         self.most, self.old = most, {}
 
-    def put(self, key: str, ids: list[int]) -> None:
+    def put(self, key: str, ids: tuple[int, ...]) -> None:
         if len(key) <= MEMO_CHARS:
             if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[key] = ids
 
-    def find(self, key: str) -> list[int] | None:
+    def find(self, key: str) -> tuple[int, ...] | None:
         """What ``get`` did not find: an entry of the old generation, moved to the new."""
         found = self.old.get(key)
         if found is not None:
@@ -82,6 +82,7 @@ class ByteBPE:
         self.automaton.make_automaton()
         self.length = [len(t) for t in self.token]
         self.text = [str(i) for i in range(len(self.token))]
+        self.numbers = list(range(len(self.token)))
         # longest proper prefix that is a token, else -1
         self.shorter = [-1] * len(self.token)
         # the two tokens whose merge made this one; a byte is its own two halves
@@ -176,7 +177,8 @@ class ByteBPE:
         for piece in self.pattern.findall(text):
             found = memo.get(piece) or memo.find(piece)
             if found is None:
-                found = self.encode_piece(piece.encode("utf-8"))
+                # one integer object for each id, however many entries hold it
+                found = tuple(map(self.numbers.__getitem__, self.encode_piece(piece.encode("utf-8"))))
                 memo.put(piece, found)
             ids += found
         return ids
@@ -194,7 +196,7 @@ class ByteBPE:
         for chunk in chunks:
             found = get(chunk) or memo.find(chunk)
             if found is None:
-                found = self.encode_pieces(" " + chunk)
+                found = tuple(self.encode_pieces(" " + chunk))
                 memo.put(chunk, found)
             ids += found
         return ids

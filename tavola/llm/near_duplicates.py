@@ -52,7 +52,7 @@ CELL = 512
 CELL_SHINGLES = 4_000_000
 #: Documents whose shingles are hashed together, and words of a memo.
 CHUNK = 256
-WORD_MEMO = 400_000
+WORD_MEMO = 250_000
 
 _rng = np.random.default_rng(20240)
 _XOR = _rng.integers(0, 2**32, HASHES, dtype=np.uint64).astype(np.uint32)

@@ -41,9 +41,9 @@ def test_long_runs_and_edges(bpe, reference, text):
 def test_memo_keeps_what_is_asked_for_again():
     memo = byte_bpe.Memo(2)
     for key in ("a", "b", "c"):
-        memo.put(key, [1])
-    assert "a" not in memo and memo.find("a") == [1] and "a" in memo
-    memo.put("x" * (byte_bpe.MEMO_CHARS + 1), [1])
+        memo.put(key, (1,))
+    assert "a" not in memo and memo.find("a") == (1,) and "a" in memo
+    memo.put("x" * (byte_bpe.MEMO_CHARS + 1), (1,))
     assert len(memo) == 2
 
 
