@@ -127,10 +127,12 @@ class WordEncoder:
         if len(self.memo) > WORD_MEMO:
             self.old, self.memo = self.memo, {}
         memo, old = self.memo, self.old
+        # one look-up a word in a large table; what is missing is filled in below
+        found = [list(map(memo.get, ws)) for ws in words]
         parts = {}
-        for w in {w for ws in words for w in ws if w not in memo}:
-            if w in old:
-                memo[w] = old[w]
+        for w in {w for ws, ids in zip(words, found, strict=True) if None in ids for w, x in zip(ws, ids, strict=True) if x is None}:
+            if (ids := old.get(w)) is not None:
+                memo[w] = ids
             else:
                 stem = w.rstrip(SIGNS)
                 low = stem.lower()
@@ -147,7 +149,12 @@ class WordEncoder:
         if long:
             memo = {**memo, **long}
         end = np.array([end_id], self.dtype).tobytes()
-        return [b"".join(map(memo.__getitem__, ws)) + end for ws in words]
+        out = []
+        for ws, ids in zip(words, found, strict=True):
+            if None in ids:
+                ids = [memo[w] if x is None else x for w, x in zip(ws, ids, strict=True)]
+            out.append(b"".join(ids) + end)
+        return out
 
 
 @lru_cache(maxsize=2)
