@@ -148,21 +148,27 @@ def link(messages: DataFrame, thread: str, sent: str, role: str, text: str) -> D
 
 def _ancestors(parents: DataFrame) -> DataFrame:
     """thread, sent, root and depth of every message with a parent. Parents are sent earlier, so
-    there are no circles, and each round doubles the distance looked back."""
-    state = stash(parents.select("thread", "sent", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth")), "ancestors")
+    there are no circles; each round doubles the distance looked back, and only messages whose
+    root has a parent itself go into the next."""
+    columns = ["thread", "sent", "root", "depth"]
+    open_ = stash(parents.select("thread", "sent", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth")), "ancestors")
+    done = None
     while True:
-        up = state.select(
+        every = open_ if done is None else done.unionByName(open_)
+        up = every.select(
             F.col("thread").alias("t"), F.col("sent").alias("s"), F.col("root").alias("next"), F.col("depth").alias("more")
         )
-        joined = state.join(up, (state["root.thread"] == up["t"]) & (state["root.sent"] == up["s"]), "left")
+        joined = open_.join(up, (open_["root.thread"] == up["t"]) & (open_["root.sent"] == up["s"]), "left")
         new = joined.select(
             "thread", "sent", F.coalesce("next", "root").alias("root"),
             (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved"),
         )
         new = stash(new, "ancestors")
-        state = new.drop("moved")
-        if new.filter("moved").isEmpty():
-            return state
+        settled = new.filter("NOT moved").select(*columns)
+        done = settled if done is None else done.unionByName(settled)
+        open_ = new.filter("moved").select(*columns)
+        if open_.isEmpty():
+            return done
 
 
 def as_mail(conversations: DataFrame) -> DataFrame:
