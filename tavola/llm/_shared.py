@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +36,26 @@ def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+_SHIPPED: set[tuple[str, str]] = set()
+
+
+def on_workers(df: DataFrame) -> DataFrame:
+    """``df``, after Spark has been given this package for its Python workers: they import the
+    functions that the tasks name, wherever the driver was started from."""
+    package = Path(__file__).resolve().parents[1]
+    files = sorted(package.rglob("*.py"))
+    digest = hashlib.sha256(b"".join(f.read_bytes() for f in files)).hexdigest()[:16]
+    context = df.sparkSession.sparkContext
+    if (context.applicationId, digest) not in _SHIPPED:
+        archive = Path(tempfile.mkdtemp(prefix="tavola-package-")) / f"tavola-{digest}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in files:
+                z.write(f, f.relative_to(package.parent))
+        context.addPyFile(str(archive))  # served by the driver, fetched by every executor
+        _SHIPPED.add((context.applicationId, digest))
+    return df
+
+
 def native_word_count(text: Column) -> Column:
     """Number of words, by built-in functions."""
     return F.regexp_count(text, F.lit(WORD)).cast("long")

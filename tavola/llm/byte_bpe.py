@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tavola.llm._shared import table, whole_text
+from tavola.llm._shared import on_workers, table, whole_text
 
 #: Entries of a generation of a worker's memos; longer keys are not kept.
 CHUNK_MEMO = 300_000
@@ -222,7 +222,7 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = 512) -> DataFr
                 yield pa.RecordBatch.from_arrays([part["doc_id"], ids], names=["doc_id", "ids"])
 
     source = docs.select("doc_id", whole_text().alias("text"))
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return on_workers(source).mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, chunk: int = 512) -> DataFrame:
@@ -247,7 +247,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, chunk: int = 512) -> Da
 
     source = docs.select("doc_id", whole_text().alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return on_workers(source).mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def public_round_trip(docs: DataFrame) -> DataFrame:

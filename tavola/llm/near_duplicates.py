@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tavola.llm._shared import stash, table
+from tavola.llm._shared import on_workers, stash, table
 from tavola.operators.joins import broadcast_if_small
 
 SHINGLE = 5
@@ -284,7 +284,7 @@ def banded(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "h1", "h2", "bands"])
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return read.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>")
+    return on_workers(read).mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -302,7 +302,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     read = read.join(broadcast_if_small(wanted.select(F.col("id").alias("doc_id"), "h1", "h2")), "doc_id")
-    return read.mapInArrow(run, "id long, sig binary, shingles binary")
+    return on_workers(read).mapInArrow(run, "id long, sig binary, shingles binary")
 
 
 def _verify(similar: int):
@@ -386,7 +386,7 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     rest = rest.select("centre", F.pmod(F.xxhash64("id"), cells).cast("int").alias("cell"), "id", F.lit(1).alias("side"))
     heads = sizes.select("centre", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), F.col("centre").alias("id"), F.lit(0).alias("side"))
     rest = rest.unionByName(heads).withColumn("comp", F.col("id"))
-    links = rest.join(sets, "id").groupBy("centre", "cell").applyInArrow(_verify(similar), "u long, v long")
+    links = on_workers(rest).join(sets, "id").groupBy("centre", "cell").applyInArrow(_verify(similar), "u long, v long")
     links = stash(links, "star-links")
     comps = components(links)
 
@@ -418,7 +418,7 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     )
     places = F.when(inside, to_rest).otherwise(F.concat(to_main, to_other))
     cells = blocked.select("centre", "id", "comp", F.explode(places).alias("at")).select("centre", "id", "comp", "at.x", "at.y", "at.side")
-    more = cells.join(sets, "id").groupBy("centre", "x", "y").applyInArrow(_verify(similar), "u long, v long")
+    more = on_workers(cells).join(sets, "id").groupBy("centre", "x", "y").applyInArrow(_verify(similar), "u long, v long")
     comps = components(stash(links.unionByName(more), "links-all"))
 
     # from representatives to documents: copies take their class's component; a doc_id that

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tavola.llm._shared import stash, table
+from tavola.llm._shared import on_workers, stash, table
 
 NEAREST = 20
 PIVOTS, PREFIX = 256, 64
@@ -125,7 +125,7 @@ def search(
         )
         return pa.table([pa.array(c) for c in found], names=names)
 
-    lists = left.groupBy("block", "of").cogroup(right.groupBy("for_block", "shard")).applyInArrow(run, "query long, cid long, score double")
+    lists = on_workers(left).groupBy("block", "of").cogroup(right.groupBy("for_block", "shard")).applyInArrow(run, "query long, cid long, score double")
     # a class's smallest id stands before its others, so the best classes hold the best rows
     best = Window.partitionBy("query").orderBy(F.col("score").desc(), "cid")
     lists = lists.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= nearest + 1)

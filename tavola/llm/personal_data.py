@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tavola.llm._shared import table
+from tavola.llm._shared import on_workers, table
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 Span = tuple[str, int, int]
@@ -453,7 +453,7 @@ def find(docs: DataFrame) -> DataFrame:
 
     kind = read.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"{n} long" for n in names[1:5])
-    return read.mapInArrow(run, f"doc_id {kind}, {counts}, base_sha256 string, spans string")
+    return on_workers(read).mapInArrow(run, f"doc_id {kind}, {counts}, base_sha256 string, spans string")
 
 
 def masked_text(text: str, spans: list[Span]) -> str:
@@ -486,7 +486,7 @@ def mask(docs: DataFrame) -> DataFrame:
             }
             yield pa.RecordBatch.from_arrays([made.get(n, b[n]) for n in schema.names], names=schema.names)
 
-    return read.mapInArrow(run, schema)
+    return on_workers(read).mapInArrow(run, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

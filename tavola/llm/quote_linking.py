@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tavola.llm._shared import stash, table
+from tavola.llm._shared import on_workers, stash, table
 
 _QUOTED = re.compile(r"((?:[ \t]?>)+)[ \t]?(.*)", re.DOTALL)
 _WROTE = re.compile(r"(?i)\s*(?:on\b.*|.*\b)(?:wrote|writes|said)\s*:\s*")
@@ -103,7 +103,7 @@ def parsed(messages: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = "thread long, sent long, role string, text string, own array<binary>, quotes array<struct<place:int,level:int,grain:int,hash:binary>>"
-    return messages.select("thread", "sent", "role", F.col("text").alias("raw")).mapInArrow(run, schema)
+    return on_workers(messages).select("thread", "sent", "role", F.col("text").alias("raw")).mapInArrow(run, schema)
 
 
 def link(messages: DataFrame, thread: str, sent: str, role: str, text: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tavola.llm._shared import table
+from tavola.llm._shared import on_workers, table
 
 #: The most labelled documents that a model is fitted on (those of the smallest hash).
 SAMPLE = 12_000
@@ -79,7 +79,7 @@ def with_statistics(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
                 columns = [*(b[c] for c in keep), *(pa.array(values[:, k]) for k in range(len(STATISTICS)))]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
 
-    return read.mapInArrow(run, schema)
+    return on_workers(read).mapInArrow(run, schema)
 
 
 #: (statistic's place, True for "greater than", threshold)

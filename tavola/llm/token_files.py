@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tavola.llm._shared import stash, table, whole_text
+from tavola.llm._shared import on_workers, stash, table, whole_text
 from tavola.operators.joins import broadcast_if_small
 
 END_ID = 2
@@ -181,7 +181,7 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
             ids = pa.array(words.encode(texts, end_id), pa.binary())
             yield pa.RecordBatch.from_arrays([part["doc_id"], tie, ids], names=["doc_id", "tie", "ids"])
 
-    return stash(_texts(docs).mapInArrow(run, "doc_id long, tie long, ids binary"), "token-ids")
+    return stash(on_workers(_texts(docs)).mapInArrow(run, "doc_id long, tie long, ids binary"), "token-ids")
 
 
 def id_ranks(ids: DataFrame, dtype: np.dtype) -> DataFrame:
@@ -197,7 +197,7 @@ def id_ranks(ids: DataFrame, dtype: np.dtype) -> DataFrame:
         columns = [pa.array(found, pa.int64()), pa.array(total[found], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, names=["id", "n"])
 
-    counts = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = on_workers(ids).select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     by_frequency = Window.orderBy(F.col("n").desc(), "id")
     return stash(counts.select("id", "n", (F.row_number().over(by_frequency) - 1).alias("rank")), "token-ranks")
 
@@ -233,7 +233,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = END_ID) -> tuple
             columns = [b["part"], b["doc_id"], b["tie"], lengths, control, data]
             yield pa.RecordBatch.from_arrays(columns, names=["part", "doc_id", "tie", "n", "control", "data"])
 
-    rows = ids.withColumn("part", part).mapInArrow(
+    rows = on_workers(ids).withColumn("part", part).mapInArrow(
         rank, "part long, doc_id long, tie long, n long, control binary, data binary"
     )
     blocks = rows.repartition("part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "tie").mapInArrow(
@@ -292,7 +292,7 @@ def read_token_files(blocks: DataFrame, ranks: DataFrame, digest: Callable[[np.n
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["part", "block", "doc_id", "inside", "n_tokens", "ids"])
 
-    docs = blocks.select("part", "block", "n", "doc_ids", "nulls", "lengths", "control", "data").mapInArrow(
+    docs = on_workers(blocks).select("part", "block", "n", "doc_ids", "nulls", "lengths", "control", "data").mapInArrow(
         decode, f"part long, block long, doc_id long, inside long, n_tokens long, ids {'long' if digest else 'array<int>'}"
     )
     # running sums in two levels: of the parts, then of a part's blocks
