@@ -19,4 +19,4 @@ print("SPANS", personal_data.find(df).first().spans)
 def test_workers_import_the_package_from_elsewhere(tmp_path):
     env = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", CODE], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
-    assert "SPANS email:3:10" in out.stdout, out.stderr[-2000:]
+    assert "SPANS email:3:12" in out.stdout, out.stderr[-2000:]
