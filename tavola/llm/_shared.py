@@ -47,7 +47,7 @@ def on_workers(df: DataFrame) -> DataFrame:
     digest = hashlib.sha256(b"".join(f.read_bytes() for f in files)).hexdigest()[:16]
     context = df.sparkSession.sparkContext
     if (context.applicationId, digest) not in _SHIPPED:
-        archive = Path(tempfile.mkdtemp(prefix="tavola-package-")) / f"tavola-{digest}.zip"
+        archive = Path(tempfile.mkdtemp(prefix="tavola-package-")).resolve() / f"tavola-{digest}.zip"
         with zipfile.ZipFile(archive, "w") as z:
             for f in files:
                 z.write(f, f.relative_to(package.parent))
