@@ -3,7 +3,8 @@
 Stages (each takes the documents its predecessor kept):
 
 1. quality: score every document with the rule ensemble; rejected documents go.
-2. near_duplicates: one document of every group of near-duplicates stays.
+2. near_duplicates: one document of every group of near-duplicates stays (five-word shingles, a
+   similarity of 0.80 or more).
 3. personal_data: spans that rules and the conditional random field find are masked.
 4. mixing: weighted fair queueing over sources; a document taken twice stands there twice.
 5. encoding: byte-level BPE ids of every document, and what they decode to.
@@ -22,6 +23,9 @@ from tavola.llm._shared import stash, table
 from tavola.operators.joins import broadcast_if_small
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Per cent of common shingles from which two documents count as near-duplicates here; the query
+#: op2_minhash has its own.
+SIMILAR = 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +36,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs = docs.select(*COLUMNS)
-    found = near_duplicates.near_duplicates(docs).filter("doc_id IS NOT NULL")
+    found = near_duplicates.near_duplicates(docs, SIMILAR).filter("doc_id IS NOT NULL")
     kept = found.groupBy("doc_id").agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__rows"))
     kept = broadcast_if_small(stash(kept.filter("__kept"), "kept").withColumnRenamed("doc_id", "__id"))
     docs = docs.join(kept, docs["doc_id"] == kept["__id"], "left").filter("doc_id IS NULL OR __kept")

@@ -3,7 +3,8 @@
 1. Every text becomes the set of its 5-word shingles (64-bit hashes). Texts of equal sets form a
    class; only one member of a class, its representative, goes on.
 2. Banding: 32 bands of 5 MinHash values. At the threshold 0.85 a pair shares no band with a
-   probability of 7e-9. Buckets of one class go at once.
+   probability of 7e-9, at 0.80 (the pipeline's threshold) with 3e-6. Buckets of one class go at
+   once.
 3. Candidates of a bucket are first compared with its centre only, the member that shares most
    buckets with others: one pair a member, so a group of thousands of near copies of one text
    becomes one component after a linear number of pairs.
@@ -12,7 +13,7 @@
 5. A comparison is sequential: signatures are read in batches of 16 values; after each batch a
    pair goes when the posterior probability of a similarity of at least the threshold, from a
    uniform prior and the matches so far, is below the miss probability. Survivors are verified on
-   full shingle sets: 100 * intersection >= 85 * union, exactly. A cell returns the verified
+   full shingle sets: 100 * intersection >= threshold * union, exactly. A cell returns the verified
    links that join components, not all pairs.
 6. Links become components: every node takes the smallest id around it, until none changes.
 

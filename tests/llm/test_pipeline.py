@@ -60,3 +60,16 @@ def test_stages_on_edge_rows(spark, edge_docs, no_docs):
     kept = corpus_pipeline.one_of_each_group(spark, edge_docs, SF).collect()
     ids = [r.doc_id for r in kept]
     assert ids.count(4) == 1 and ids.count(None) == 2 and 5 not in ids and 0 in ids
+
+
+def test_near_duplicates_from_80_per_cent(spark):
+    word = iter(f"w{i}" for i in range(1000))
+    take = lambda n: " ".join(next(word) for _ in range(n))
+    base = take(100)  # 96 shingles
+    texts = [base, f"{base} {take(20)}", f"{base} {take(24)}", f"{base} {take(25)}", take(50)]  # 0.828, 0.800, 0.793 of the first
+    rows = [(i, t) for i, t in enumerate(texts)]
+    comps, _ = plain_components(rows, similar=80)
+    assert comps != plain_components(rows)[0]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()}
+    assert kept == {i for i, c in comps.items() if i == c} == {0, 3, 4}
