@@ -9,8 +9,9 @@ Stages (each takes the documents its predecessor kept):
 4. mixing: weighted fair queueing over sources; a document taken twice stands there twice.
 5. encoding: byte-level BPE ids of every document, and what they decode to.
 
-Defined cases are those of the operators; rows without a doc_id pass the second stage, and of
-rows that repeat a doc_id it keeps one.
+Defined cases are those of the operators; rows without a doc_id pass the second stage; of rows
+that repeat a doc_id it takes the one of the longest text before it looks for near-duplicates, so
+that nothing under another id goes for a row that is not kept.
 """
 
 from __future__ import annotations
@@ -34,14 +35,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rule_quality.scored(docs, model).filter("predicted = 1").select(*COLUMNS)
 
 
+def one_of_each_id(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of every doc_id, the longest text, and all rows without a doc_id."""
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1")
+    repeated = stash(repeated.select("doc_id"), "repeated-ids")
+    if repeated.isEmpty():
+        return docs
+    repeated = broadcast_if_small(repeated)
+    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    row = F.struct(F.char_length("text").alias("length"), "text", *rest)
+    one = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.max(row).alias("row")).select("doc_id", "row.*")
+    return stash(docs.join(repeated, "doc_id", "left_anti").select(*COLUMNS).unionByName(one.select(*COLUMNS)), "one-of-each-id")
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = docs.select(*COLUMNS)
-    found = near_duplicates.near_duplicates(docs, SIMILAR).filter("doc_id IS NOT NULL")
-    kept = found.groupBy("doc_id").agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__rows"))
-    kept = broadcast_if_small(stash(kept.filter("__kept"), "kept").withColumnRenamed("doc_id", "__id"))
-    docs = docs.join(kept, docs["doc_id"] == kept["__id"], "left").filter("doc_id IS NULL OR __kept")
-    repeated = docs.filter("__rows > 1").select(*COLUMNS).dropDuplicates(["doc_id"])
-    return docs.filter("coalesce(__rows, 1) = 1").select(*COLUMNS).unionByName(repeated)
+    docs = one_of_each_id(docs.select(*COLUMNS))
+    kept = near_duplicates.near_duplicates(docs, SIMILAR).filter("kept").select(F.col("doc_id").alias("__id"))
+    kept = broadcast_if_small(stash(kept, "kept"))
+    return docs.join(kept, docs["doc_id"] == kept["__id"], "left").filter("doc_id IS NULL OR __id IS NOT NULL").select(*COLUMNS)
 
 
 def masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,15 +15,16 @@
    uniform prior and the matches so far, is below the miss probability. Survivors are verified on
    full shingle sets: 100 * intersection >= threshold * union, exactly. A cell returns the verified
    links that join components, not all pairs.
-6. Links become components: every node takes the smallest id around it, until none changes.
+6. Links, and the classes that share a doc_id, become components: every class takes the smallest
+   number around it, until none changes; the component's id is the smallest doc_id in it.
 
 Texts are read twice, once for the bands and once for signatures and sets of the documents that
 share a bucket with another.
 
 Defined cases: a null, empty or blank text has the empty set and is linked with nothing, its own
-component; a text of fewer than five words has its whole sequence as one shingle; of rows
-that repeat a doc_id with different sets, the set of the smallest hash is the one compared, and
-all of them share its component; null doc_ids are returned with a null component and not kept; an empty table gives an
+component; a text of fewer than five words has its whole sequence as one shingle; rows that
+repeat a doc_id with different sets are compared each by its own and share one component (but
+for empty sets); null doc_ids are returned with a null component and not kept; an empty table gives an
 empty result; other columns are not read.
 """
 
@@ -288,22 +289,43 @@ def banded(docs: DataFrame) -> DataFrame:
     return on_workers(read).mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id, sig and shingles (both as bytes) of the documents in ``wanted`` (id, h1, h2)."""
+def full_sets(docs: DataFrame, wanted: DataFrame, repeated: DataFrame | None) -> DataFrame:
+    """id, sig and shingles (both as bytes) of the classes in ``wanted`` (id, doc_id, h1, h2). Of
+    the ids in ``repeated`` any row may hold the class, or several rows may."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _chunks(batches):
+            sets = shingle_sets(b["text"].to_pylist())
+            halves = np.frombuffer(b"".join(map(_digest, sets)), "<i8").reshape(-1, 2)
+            columns = [
+                b["doc_id"], pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()),
+                pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "h1", "h2", "sig", "shingles"])
+
+    def run_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _chunks(batches):
             sets = shingle_sets(b["text"].to_pylist())
             halves = [np.frombuffer(_digest(s), "<i8").tolist() for s in sets]
             same = [h == [x, y] for h, x, y in zip(halves, b["h1"].to_pylist(), b["h2"].to_pylist(), strict=True)]
             sets = [s for s, keep in zip(sets, same, strict=True) if keep]
             sig = pa.array([signature(s).tobytes() for s in sets], pa.binary())
-            columns = [b["doc_id"].filter(pa.array(same)), sig, pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())]
+            columns = [b["id"].filter(pa.array(same)), sig, pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "sig", "shingles"])
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    read = read.join(broadcast_if_small(wanted.select(F.col("id").alias("doc_id"), "h1", "h2")), "doc_id")
-    return on_workers(read).mapInArrow(run, "id long, sig binary, shingles binary")
+    wanted = wanted.select("id", "doc_id", "h1", "h2")
+    once = wanted if repeated is None else wanted.join(broadcast_if_small(repeated), "doc_id", "left_anti")
+    known = on_workers(read.join(broadcast_if_small(once), "doc_id"))
+    known = known.select("id", "text", "h1", "h2").mapInArrow(run_known, "id long, sig binary, shingles binary")
+    if repeated is None:
+        return known
+    often = stash(wanted.join(broadcast_if_small(repeated), "doc_id", "left_semi"), "wanted-repeated")
+    rows = on_workers(read.join(broadcast_if_small(often.select("doc_id").distinct()), "doc_id", "left_semi"))
+    rows = rows.mapInArrow(run, "doc_id long, h1 long, h2 long, sig binary, shingles binary")
+    rows = rows.join(broadcast_if_small(often), ["doc_id", "h1", "h2"])
+    return known.unionByName(rows.groupBy("id").agg(F.first("sig").alias("sig"), F.first("shingles").alias("shingles")))
 
 
 def _verify(similar: int):
@@ -352,15 +374,26 @@ def _with_comps(members: DataFrame, comps: DataFrame | None) -> DataFrame:
     return joined.select(*members.columns, F.coalesce("comp", "id").alias("comp"))
 
 
+def same_id(exact: DataFrame, classes: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Links u, v between the classes of every doc_id in ``repeated``."""
+    rows = exact.join(broadcast_if_small(repeated), "doc_id", "left_semi").select("doc_id", "h1", "h2").distinct()
+    of = stash(rows.join(classes.select("h1", "h2", "id"), ["h1", "h2"]).select("doc_id", "id"), "classes-of-ids")
+    first = stash(of.groupBy("doc_id").agg(F.min("id").alias("u")), "first-classes")
+    return of.join(broadcast_if_small(first), "doc_id").filter("id <> u").select("u", F.col("id").alias("v"))
+
+
 def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     bands = stash(banded(docs), "bands")
     exact = bands.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     rep = exact.groupBy("h1", "h2").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
-    rep = stash(rep, "classes")
-    nodes = rep.groupBy("id").agg(F.min(F.struct("h1", "h2", "n", "bands")).alias("of")).select("id", "of.*")
+    # any distinct numbers do: the result does not depend on them, and written they stay
+    nodes = rep = stash(rep.withColumn("id", F.monotonically_increasing_id()), "classes")
+    repeated = exact.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    repeated = stash(repeated.select("doc_id"), "repeated-ids")
+    repeated = None if repeated.isEmpty() else repeated
 
     # buckets of two classes or more; those of the same members are one
     rows = nodes.select(F.explode("bands").alias("key"), "id")
@@ -370,8 +403,8 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     buckets = stash(sums.groupBy("m", "low", "high", "of").agg(F.min("key").alias("key")).select("key", "m"), "buckets")
     members = stash(rows.join(broadcast_if_small(buckets), "key").select("key", "m", "id"), "members")
     weights = members.groupBy("id").agg(F.sum("m").alias("weight"))
-    wanted = stash(weights.join(nodes.select("id", "h1", "h2", "n"), "id"), "wanted")
-    sets = stash(full_sets(docs, wanted), "sets")
+    wanted = stash(weights.join(nodes.select("id", "doc_id", "h1", "h2", "n"), "id"), "wanted")
+    sets = stash(full_sets(docs, wanted, repeated), "sets")
 
     # every member against its bucket's centre; the buckets of one centre are one group
     weighed = members.join(broadcast_if_small(wanted.select("id", "weight")), "id")
@@ -420,11 +453,16 @@ def near_duplicates(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     places = F.when(inside, to_rest).otherwise(F.concat(to_main, to_other))
     cells = blocked.select("centre", "id", "comp", F.explode(places).alias("at")).select("centre", "id", "comp", "at.x", "at.y", "at.side")
     more = on_workers(cells).join(sets, "id").groupBy("centre", "x", "y").applyInArrow(_verify(similar), "u long, v long")
-    comps = components(stash(links.unionByName(more), "links-all"))
-
-    # from representatives to documents: copies take their class's component; a doc_id that
-    # repeats with different sets joins their components
-    rep_comp = stash(_with_comps(rep.select("h1", "h2", "id"), comps).select("h1", "h2", "comp"), "class-comps")
+    links = links.unionByName(more)
+    if repeated is not None:
+        links = links.unionByName(same_id(exact, rep, repeated))
+    comps = stash(components(stash(links, "links-all")), "class-numbers")
+
+    # from classes to documents: the smallest doc_id of a component
+    lows = comps.join(rep.select("id", "doc_id"), "id").groupBy("comp").agg(F.min("doc_id").alias("low"))
+    low = stash(comps.join(broadcast_if_small(stash(lows, "component-ids")), "comp").select("id", "low"), "class-ids")
+    rep_comp = rep.select("h1", "h2", "id", "doc_id").join(low, "id", "left")
+    rep_comp = stash(rep_comp.select("h1", "h2", F.coalesce("low", "doc_id").alias("comp")), "class-comps")
     slim = bands.select("doc_id", "n_shingles", "h1", "h2")
     full = slim.filter("n_shingles > 0 AND doc_id IS NOT NULL").join(rep_comp, ["h1", "h2"]).select("doc_id", "n_shingles", "comp")
     empty = slim.filter("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("comp"))

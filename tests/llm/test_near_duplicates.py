@@ -111,3 +111,16 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert by[3][0].n_shingles == 1 and by[5][0].component_id == 4 and len(by[4]) == 4
     assert all(r.component_id is None and not r.kept for r in by[None])
     assert nd.near_duplicates(no_docs).count() == 0
+
+
+def test_repeated_ids_with_different_texts(spark):
+    rng = random.Random(5)
+    new = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    a, b, c, d = ([new() for _ in range(120)] for _ in range(4))
+    text, near = " ".join, lambda words: " ".join([*words, new()])
+    # 5 is the smallest id of both its texts; 22 of neither; every text has near copies elsewhere
+    rows = [(5, text(a)), (5, text(b)), (9, near(a)), (10, near(b)), (11, text(b)), (5, text(b))]
+    rows += [(20, text(c)), (21, text(d)), (22, text(c)), (22, text(d)), (31, near(c)), (32, near(d)), (40, text(new() for _ in range(60)))]
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((i, 5 if i < 20 else 20 if i < 40 else 40) for i, _ in rows)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)

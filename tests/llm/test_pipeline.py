@@ -73,3 +73,11 @@ def test_near_duplicates_from_80_per_cent(spark):
     docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     kept = {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()}
     assert kept == {i for i, c in comps.items() if i == c} == {0, 3, 4}
+
+
+def test_repeated_id_takes_no_other_text_with_it(spark):
+    a, b = " ".join(f"a{i}" for i in range(80)), " ".join(f"b{i}" for i in range(60))
+    rows = [(7, a), (7, b), (8, b), (9, f"{b} more"), (10, f"{a} more")]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SF).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(7, a), (8, b)]
