@@ -30,6 +30,7 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Iterator
 from functools import lru_cache
@@ -268,7 +269,17 @@ def verified_links(
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return (b.slice(i, CHUNK) for b in batches for i in range(0, b.num_rows, CHUNK))
+    yield from (b.slice(i, CHUNK) for b in batches for i in range(0, b.num_rows, CHUNK))
+    _words.cache_clear()
+    _give_back()
+
+
+def _give_back() -> None:
+    """Freed memory goes back to the system: the worker process lives on for other steps."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
 
 
 def banded(docs: DataFrame) -> DataFrame:
@@ -342,6 +353,8 @@ def _verify(similar: int):
         else:
             left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         links = verified_links(ids, comps, sizes, signatures, sets, left, right, similar)
+        if sizes.sum() > CELL_SHINGLES // 8:
+            _give_back()
         return pa.table([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
     return run
