@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tavola.llm._shared import table, whole_text
 
+#: Where sections end in a text without three line breaks in a row; see ``_sections`` for all texts.
 SECTION_END = r"(?<=\n\n)"
 PARAGRAPH_END = r"(?<=\n)"
 SENTENCE_END = r"(?<=[.!?] )"
@@ -33,6 +34,13 @@ def _pieces(text: Column, end: str) -> Column:
     return F.filter(F.split(text, end), lambda p: p != "")
 
 
+def _sections(text: Column) -> Column:
+    """Pieces up to and with each blank line, from the left; no line break counts for two blank lines."""
+    parts = F.split(text, "\n\n", -1)
+    ended = F.transform(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda p: F.concat(p, F.lit("\n\n")))
+    return F.filter(F.concat(ended, F.slice(parts, F.size(parts), F.lit(1))), lambda p: p != "")
+
+
 def _node(tag: str, hashes: Column) -> Column:
     return F.sha2(F.concat(F.lit(tag), F.array_join(hashes, "")), 256)
 
@@ -51,7 +59,7 @@ def with_tree(df: DataFrame, text: str, name: str) -> DataFrame:
     """Adds ``name``: struct(root, sections), a section being struct(hash, paragraphs) and a
     paragraph struct(hash, leaves). Each level is a column of its own, computed once."""
     paragraphs, sections = f"__merkle_p_{name}", f"__merkle_s_{name}"
-    df = df.withColumn(paragraphs, F.transform(_pieces(F.col(text), SECTION_END), _section))
+    df = df.withColumn(paragraphs, F.transform(_sections(F.col(text)), _section))
     df = df.withColumn(
         sections,
         F.transform(

@@ -72,3 +72,18 @@ def test_differing_branches_locate_edits(spark):
 def test_plan_has_no_python(spark, edge_docs):
     plan = merkle.fingerprints(edge_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_matches_sql_on_runs_of_line_breaks(spark):
+    import duckdb
+
+    from tavola.llm.oracle import OP3
+
+    texts = ["a\n\n\nb", "\n\n\n", "a. b\n\n\n\n\nc! d\n", "\n\n\n\na", "\n", "a\n\nb\n\n", None, "", "x? . . y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    cur = con.execute(OP3)
+    names = [c[0] for c in cur.description]
+    assert sorted(tuple(r) for r in merkle.fingerprints(df).select(names).collect()) == sorted(cur.fetchall())
