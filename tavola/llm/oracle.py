@@ -89,4 +89,32 @@ SELECT p.conv_id, p.turn, p.role, p.text,
 FROM p JOIN r ON r.conv_id = p.conv_id AND r.turn = p.turn
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2, "op3_merkle": OP3, "op7_quote_linking": OP7}
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps
+  FROM documents),
+lists AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(ps) AS p FROM pieces)),
+sized AS (SELECT lang, len(w) AS size, k, w FROM lists, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+totals AS (SELECT lang, CAST(sum(size) AS BIGINT) AS n FROM sized WHERE k = 1 GROUP BY lang),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, size - k + 2), lambda i: w[i:i + k - 1])) AS g FROM sized),
+f AS (SELECT lang, g, len(g) AS size, count(*) AS f FROM grams GROUP BY lang, g HAVING count(*) >= 30),
+inner_parts AS (
+  SELECT lang, f, size, unnest(flatten(list_transform(range(2, size), lambda k: list_transform(range(1, size - k + 2), lambda i: g[i:i + k - 1])))) AS g
+  FROM f WHERE size > 2),
+longer AS (SELECT lang, g, max(f) AS most FROM inner_parts GROUP BY lang, g),
+cuts AS (
+  SELECT c.lang, c.g, c.f AS a, unnest(range(1, c.size)) AS k
+  FROM f c LEFT JOIN longer o ON o.lang = c.lang AND o.g = c.g
+  WHERE c.size > 1 AND NOT coalesce(100::HUGEINT * o.most >= 80::HUGEINT * c.f, false)),
+scored AS (
+  SELECT c.lang, c.g, c.a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f::HUGEINT + y.f) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:]),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, array_to_string(g, ' ') AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM worst)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2, "op3_merkle": OP3, "op7_quote_linking": OP7, "op11_collocations": OP11}

@@ -1,6 +1,6 @@
 """The registered queries of this package: one per operator, and the pipeline's SQL where it has any."""
 
-from tavola.llm import byte_bpe, merkle, mixing, near_duplicates, permutation_index, personal_data, quote_linking, rule_quality, sharding, token_files
+from tavola.llm import byte_bpe, collocations, merkle, mixing, near_duplicates, permutation_index, personal_data, quote_linking, rule_quality, sharding, token_files
 from tavola.llm.oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
@@ -14,4 +14,5 @@ QUERIES = {
     "op8_byte_bpe": byte_bpe.query,
     "op9_rule_quality": rule_quality.query,
     "op10_fair_queueing": mixing.query,
+    "op11_collocations": collocations.query,
 }
