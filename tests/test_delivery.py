@@ -2,7 +2,7 @@
 
 import fixtures as FX
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tavola.plans import delivery as D

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import fixtures as FX
-from conftest import rows
+from frames import rows
 
 from tavola.plans import diner
 

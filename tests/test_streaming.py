@@ -2,7 +2,7 @@
 
 import uuid
 
-from conftest import rows
+from frames import rows
 
 from tavola.plans import diner
 from tavola.sources import adapters as A
