@@ -117,4 +117,28 @@ ranked AS (
 SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2, "op3_merkle": OP3, "op7_quote_linking": OP7, "op11_collocations": OP11}
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+s AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d),
+asked AS (SELECT DISTINCT term FROM q),
+held AS (
+  SELECT row_no, doc_id, size, term, count(*) AS tf
+  FROM (SELECT row_no, doc_id, len(w) AS size, unnest(w) AS term FROM d) x SEMI JOIN asked USING (term) GROUP BY row_no, doc_id, size, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, s GROUP BY term),
+scores AS (
+  SELECT item_id, row_no, doc_id, CAST(sum(w.w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * size * n) // l)))) AS BIGINT) AS score
+  FROM held JOIN weights w USING (term) JOIN q USING (term), s GROUP BY item_id, row_no, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_minhash": OP2, "op3_merkle": OP3, "op7_quote_linking": OP7, "op11_collocations": OP11, "op12_lexical_search": OP12}

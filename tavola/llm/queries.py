@@ -1,6 +1,20 @@
 """The registered queries of this package: one per operator, and the pipeline's SQL where it has any."""
 
-from tavola.llm import byte_bpe, collocations, merkle, mixing, near_duplicates, permutation_index, personal_data, quote_linking, rule_quality, sharding, token_files
+from tavola.llm import (
+    byte_bpe,
+    collocations,
+    lexical_search,
+    merkle,
+    mixing,
+    near_duplicates,
+    permutation_index,
+    personal_data,
+    quote_linking,
+    rule_quality,
+    sentence_pieces,
+    sharding,
+    token_files,
+)
 from tavola.llm.oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
@@ -15,4 +29,6 @@ QUERIES = {
     "op9_rule_quality": rule_quality.query,
     "op10_fair_queueing": mixing.query,
     "op11_collocations": collocations.query,
+    "op12_lexical_search": lexical_search.query,
+    "op13_sentence_pieces": sentence_pieces.query,
 }
