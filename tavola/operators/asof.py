@@ -1,4 +1,5 @@
-"""As-of lookup: for each left row, the earliest right-side instant strictly after it.
+"""As-of lookups: for each left row, the earliest right-side instant strictly after it, or the last
+right-side row before it.
 
 A plain window over (key) would put every event of a hot key in one task, and an
 equi-join on key with ``right.ts > left.ts`` emits all pairs of a key. Instead:
@@ -10,16 +11,19 @@ equi-join on key with ``right.ts > left.ts`` emits all pairs of a key. Instead:
 2. Rows with no later right instant in their own bucket take the earliest right instant
    of any later bucket: per (key, bucket) minima are tiny (one row per bucket), and a
    running minimum over them, per key, answers "earliest in a later bucket".
+
+``last_before`` looks the other way, in the same two steps with running maxima, and carries left rows
+and values of the right row along, so both sides move once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_KEY_ROWS = 1_000_000
+from tavola.operators.hot import HOT_KEY_ROWS, hot_keys
 
 
 def next_after(
@@ -57,11 +61,7 @@ def _next_instants(
     hot_rows: int,
 ) -> DataFrame:
     side, bkt = "__side", "__bucket"
-    sizes = left.select(*keys).unionByName(rsel.select(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    # At most (rows / hot_rows) keys are hot: a size bound by construction, which the
-    # optimizer's estimate cannot see, so the side is broadcast explicitly (a shuffle
-    # join here would put each hot key back into one partition).
-    hot = F.broadcast(sizes.filter(F.col("__n") > hot_rows).select(*keys, F.lit(True).alias("__hot")))
+    hot = hot_keys(left.select(*keys).unionByName(rsel.select(*keys)), keys, hot_rows)
 
     def bucketed(df: DataFrame) -> DataFrame:
         tagged = df.join(hot, keys, "left")
@@ -91,3 +91,45 @@ def _next_instants(
 
     joined = within.join(later, keys + [bkt], "left")
     return joined.withColumn(out, F.coalesce(F.col("__in"), F.col("__later"))).drop(side, bkt, "__in", "__later")
+
+
+def last_before(
+    left: DataFrame,
+    right: DataFrame,
+    key: str | Sequence[str],
+    ts: str,
+    values: Mapping[str, str],
+    right_ts: str | None = None,
+    inclusive: bool = False,
+    longest_gap: str | None = None,
+    bucket: str = "day",
+    hot_bucket: str = "minute",
+    hot_rows: int = HOT_KEY_ROWS,
+) -> DataFrame:
+    """``left`` plus ``values`` (column of ``right`` -> name in the result) of the last right row of the
+    same key before ``ts`` (``inclusive``: or at it); NULL where there is none, or where it is more than
+    ``longest_gap`` (an interval, e.g. '7 days') back. Of right rows at one instant the one with the
+    largest values counts. A null key or instant matches nothing; no left row is lost or doubled."""
+    keys = [key] if isinstance(key, str) else list(key)
+    rts = right_ts or ts
+    names = [f"__key{i}" for i in range(len(keys))]
+    as_names = [F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]
+    hot = hot_keys(left.select(*as_names).unionByName(right.select(*as_names)), names, hot_rows)
+    # at one instant the side that comes first does not see the other
+    left_side, right_side = (1, 0) if inclusive else (0, 1)
+    lrows = left.select(*as_names, F.col(ts).alias("__ts"), F.lit(left_side).alias("__side"), F.struct(*[F.col(c) for c in left.columns]).alias("__row"))
+    found = F.struct(F.col(rts).alias("__at"), *[F.col(c).alias(v) for c, v in values.items()])
+    rrows = right.dropna(subset=[*keys, rts]).select(*as_names, F.col(rts).alias("__ts"), F.lit(right_side).alias("__side"), found.alias("__found"))
+    both = lrows.unionByName(rrows, allowMissingColumns=True).join(hot, names, "left")
+    fine = F.coalesce(F.col("__hot"), F.lit(False))
+    both = both.withColumn("__bucket", F.when(fine, F.date_trunc(hot_bucket, "__ts")).otherwise(F.date_trunc(bucket, "__ts")))
+    inside = Window.partitionBy(*names, "__bucket").orderBy("__ts", "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    windowed = both.withColumn("__in", F.max("__found").over(inside))
+    # the last right row of any earlier bucket, from one row a bucket
+    tops = windowed.groupBy(*names, "__bucket").agg(F.max("__found").alias("__top"))
+    earlier = Window.partitionBy(*names).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tops.select(*names, "__bucket", F.max("__top").over(earlier).alias("__carried"))
+    rows = windowed.filter(F.col("__side") == left_side).join(carried, [*names, "__bucket"], "left")
+    best = F.coalesce(F.col("__in"), F.col("__carried"))
+    near = F.lit(True) if longest_gap is None else best["__at"] >= F.col("__ts") - F.expr(f"INTERVAL {longest_gap}")
+    return rows.select("__row.*", *[F.when(near, best[v]).alias(v) for v in values.values()])

@@ -49,3 +49,15 @@ def with_record_seq(df: DataFrame, key: Sequence[str], out: str = "record_seq")
     copy = F.explode(F.sequence(F.col("__chunk"), F.least(F.col("__chunk") + COPIES_AT_ONCE, F.col("__n")) - 1))
     numbered = chunks.select(*df.columns, "__first", copy.alias("__copy"))
     return numbered.select(*df.columns, (F.col("__first") + F.col("__copy") + 1).cast("bigint").alias(out))
+
+
+def continue_record_seq(df: DataFrame, key: Sequence[str], used: DataFrame, out: str = "record_seq") -> DataFrame:
+    """``with_record_seq`` for rows that come after others: the numbers of a key go on behind the
+    highest one given to it, which ``used`` (key..., high; one row a key) names."""
+    numbered = with_record_seq(df, key, out)
+    before = used.select(*[F.col(k).alias(f"__{k}") for k in key], "high")
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    shifted = (F.col(out) + F.coalesce(F.col("high"), F.lit(0))).cast("bigint")
+    return numbered.join(before, same, "left").select(*df.columns, shifted.alias(out))

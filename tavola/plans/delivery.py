@@ -30,12 +30,17 @@ from tavola.operators import (
     broadcast_if_small,
     check_status,
     copies_list,
+    day_bitmaps,
+    distinct_in_periods,
     enrich,
     joined_list,
     lookup_names,
     top_one,
+    with_position,
     with_record_seq,
+    write_checked,
 )
+from tavola.session import materialize
 
 # Units glued to the raw distance / duration text.
 DISTANCE_UNITS = ("km",)
@@ -252,6 +257,15 @@ def rating_check(ratings: DataFrame, col: str = "rating", bounds: tuple[int, int
     return check_status(ratings, F.col(col).between(*bounds))
 
 
+def check_counts(df: DataFrame, rules: Mapping[str, Column], path: str) -> DataFrame:
+    """(rule, n_rows, n_failed, n_rejected): the table written as valid and rejected rows at ``path``,
+    each rule's failures counted on the way; n_rejected are the rows that failed any."""
+    checked = write_checked(df, rules, path)
+    rejected = checked.rejected.count()
+    rows = [(rule, checked.rows, failed, rejected) for rule, failed in checked.failed.items()]
+    return df.sparkSession.createDataFrame(rows, "rule string, n_rows bigint, n_failed bigint, n_rejected bigint")
+
+
 # C20
 def delivery_report(ratings: DataFrame, co: DataFrame, ro_clean: DataFrame) -> DataFrame:
     """One row per rating: who, when, minutes to pickup, duration, km/h, pizzas.
@@ -303,6 +317,13 @@ def unique_customers(co: DataFrame) -> DataFrame:
     return co.agg(F.countDistinct("customer_id").alias("no_customers"))
 
 
+def unique_customers_in_periods(co: DataFrame, day: str = "order_time", customer: str = "customer_id") -> DataFrame:
+    """(period, start, customers): exact distinct customers of every day, week (from Monday) and
+    month, all merged from the days' bitmaps; the orders are read once."""
+    starts = {"day": F.col("day"), "week": F.to_date(F.date_trunc("week", "day")), "month": F.to_date(F.date_trunc("month", "day"))}
+    return distinct_in_periods(materialize(day_bitmaps(co, day, customer)), starts, out="customers")
+
+
 # A03
 def delivered_by_runner(ro_raw: DataFrame) -> DataFrame:
     """On raw runner rows: a duration that is present and not the text 'null'."""
@@ -453,6 +474,11 @@ def speed(ro_clean: DataFrame, ordered: bool = False) -> DataFrame:
     return out.orderBy("distance", "order_id") if ordered else out
 
 
+def speed_with_position(ro_clean: DataFrame) -> DataFrame:
+    """``speed`` with the place of each row in its final order, shortest distance first."""
+    return with_position(speed(ro_clean), [F.col("distance"), F.col("order_id")])
+
+
 # B07
 def delivery_rate(ro_clean: DataFrame) -> DataFrame:
     done = F.sum(F.when(F.col("duration").isNotNull(), 1).otherwise(0))
@@ -498,6 +524,17 @@ def revenue_per_extra(co: DataFrame, prices: Mapping[str, int], default: int, ex
     return rows.agg(F.sum(total).cast("bigint").alias("total_revenue"))
 
 
+def best_paid_extras(orders: DataFrame, extras: DataFrame, most: int = 3) -> DataFrame:
+    """OUTER APPLY: for each order its ``most`` best-paid extras (order_id, pos, item, price) as one
+    text, the best first, and what they cost; an order without extras stays, with NULL."""
+    own = extras.filter(F.col("order_id") == F.col("o.order_id").outer())
+    best = own.orderBy(F.col("price").desc(), F.col("pos"), F.col("item")).limit(most)
+    entry = F.struct((-F.col("price")).alias("p"), "pos", "item")
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["item"]), ", ")
+    applied = best.select(F.when(F.count("item") > 0, listed).alias("best_extras"), to_money(F.sum("price")).alias("best_price"))
+    return orders.alias("o").lateralJoin(applied, how="left").select("o.order_id", "best_extras", "best_price")
+
+
 # E05
 def profit(
     co: DataFrame,

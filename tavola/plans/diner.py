@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from tavola.functions import to_money
 from tavola.operators import (
     broadcast_if_small,
+    dense_rank_in_ranges,
     dense_rank_of,
     first_by,
+    in_any_period,
     keep_max_ties,
+    last_before,
     rows_at_extreme,
     splittable,
     top_one,
@@ -92,6 +95,14 @@ def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> D
     return rows_at_extreme(before, "customer_id", "order_date", "max").select("customer_id", "product_name")
 
 
+def last_purchases(sales: DataFrame, joins: DataFrame, longest_gap: str | None = None) -> DataFrame:
+    """Before each of a customer's joins (customer_id, joined_at): the last purchase (``ts``, product),
+    unless it is more than ``longest_gap`` back. Joins without one stay."""
+    return last_before(
+        joins, sales, "customer_id", "joined_at", {"ts": "purchased_at", "product_id": "product_id"}, right_ts="ts", longest_gap=longest_gap
+    )
+
+
 # D08
 def spend_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     before = _with_members(sales, menu, members).filter(F.col("order_date") < F.col("join_date"))
@@ -138,6 +149,23 @@ def points_with_boost(
     return rows.groupBy("customer_id").agg(to_money(F.sum(_points(F.col("price"), doubled, per_unit))).alias("total"))
 
 
+def points_over_periods(
+    sales: DataFrame,
+    menu: DataFrame,
+    periods: DataFrame,
+    until: str,
+    double_items: Sequence[str] = DOUBLE_POINT_ITEMS,
+    per_unit: int = POINTS_PER_UNIT,
+) -> DataFrame:
+    """``points_with_boost`` for members with several boost periods (customer_id, start_date,
+    end_date; the end included): a sale doubles once, in however many of them it lies."""
+    members = splittable(periods.select("customer_id").distinct())
+    rows = priced_sales(sales, menu).filter(F.col("order_date") <= F.lit(until).cast("date")).join(members, "customer_id", "left_semi")
+    rows = in_any_period(rows, periods, "customer_id", "order_date", "start_date", "end_date", out="boosted")
+    doubled = F.col("boosted") | F.col("product_name").isin(list(double_items))
+    return rows.groupBy("customer_id").agg(to_money(F.sum(_points(F.col("price"), doubled, per_unit))).alias("total"))
+
+
 # D11
 def member_flag(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Every sale with 'Y' when made on/after the join date, else 'N' (non-members too)."""
@@ -160,3 +188,15 @@ def member_rank(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFr
         F.when(F.col("member") == "N", F.lit(None)).otherwise(F.col("__rnk")).cast("int").alias("rnk"),
     )
 
+
+
+def member_rank_by_instant(sales: DataFrame, members: DataFrame, ts: str = "ts") -> DataFrame:
+    """D12 by instant instead of day: every sale with the member flag and, for members' sales, the
+    dense rank of its instant among the customer's. A customer's instants are ranked in ranges,
+    so one with any share of the sales is ranked by many tasks."""
+    flagged = sales.join(splittable(members.select("customer_id", "join_date")), "customer_id", "left").withColumn(
+        "member", F.when(F.col("order_date") >= F.col("join_date"), F.lit("Y")).otherwise(F.lit("N"))
+    ).drop("join_date")
+    ranked = dense_rank_in_ranges(flagged.filter(F.col("member") == "Y"), "customer_id", ts, out="rnk")
+    rest = flagged.filter(F.col("member") == "N").withColumn("rnk", F.lit(None).cast("bigint"))
+    return ranked.unionByName(rest)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tavola.functions import csv_items
-from tavola.operators import broadcast_if_small, format_list, item_lists, joined_list, keep_max_ties, total_by_item
+from tavola.operators import broadcast_if_small, format_list, item_lists, joined_list, keep_max_ties, total_by_item, with_position
 
 # Display names and fall-backs of the order label.
 LABEL_UNMODIFIED = {"Meatlovers": "Meat Lovers", "Vegetarian": "Vegetarian Lovers"}
@@ -132,6 +132,11 @@ def ingredient_list(
     return out.orderBy(*keys, "pizza_name") if ordered else out
 
 
+def ingredient_list_with_position(qty: DataFrame, records: DataFrame, key: Sequence[str] = ("record_id",)) -> DataFrame:
+    """``ingredient_list`` with the place of each row in its final order, by key and pizza name."""
+    return with_position(ingredient_list(qty, records, key), [F.col(k) for k in [*key, "pizza_name"]])
+
+
 # I06
 def ingredient_totals(
     qty: DataFrame,

@@ -54,23 +54,32 @@ def runner_feed(t: Tables) -> DataFrame:
     )
 
 
-def pizza_feed(t: Tables) -> DataFrame:
-    """One row per order line: pizza name and the text lists of exclusions and extras, and the
-    record id that tells rows of one order and line apart."""
-    supplier, part = _text(F.col("l_suppkey") % 30), _text(F.col("l_partkey") % 30)
+def modifier_texts(supplier: Column, part: Column) -> tuple[Column, Column]:
+    """The text lists of a line's exclusions and extras, from two topping ids."""
+    supplier, part = _text(supplier), _text(part)
+    exclusions = _choice(F.col("l_suppkey"), F.lit("null"), part, F.concat(part, F.lit(","), supplier))
+    extras = _choice(F.col("l_linenumber"), F.lit("null"), F.lit(""), F.concat(supplier, F.lit(", "), part), F.concat(supplier, F.lit(", x")))
+    return exclusions, extras
+
+
+def pizza_feed(t: Tables, numbered: bool = True) -> DataFrame:
+    """One row per order line: pizza name and the text lists of exclusions and extras, and, if
+    ``numbered``, the record id that tells rows of one order and line apart."""
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return D.with_record_id(lines, ["l_orderkey", "l_linenumber"]).select(
+    exclusions, extras = modifier_texts(F.col("l_suppkey") % 30, F.col("l_partkey") % 30)
+    rows = D.with_record_id(lines, ["l_orderkey", "l_linenumber"]) if numbered else lines
+    return rows.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line"),
-        "record_seq",
+        *(["record_seq"] if numbered else []),
         F.when(F.col("l_partkey") % 3 == 0, "Meatlovers").when(F.col("l_partkey") % 3 == 1, "Vegetarian").otherwise("Special").alias("pizza_name"),
-        _choice(F.col("l_suppkey"), F.lit("null"), part, F.concat(part, F.lit(","), supplier)).alias("exclusions"),
-        _choice(F.col("l_linenumber"), F.lit("null"), F.lit(""), F.concat(supplier, F.lit(", "), part), F.concat(supplier, F.lit(", x"))).alias("extras"),
-    )
+        exclusions.alias("exclusions"),
+        extras.alias("extras"),
+    )
 
 
-def _clean(t: Tables) -> DataFrame:
-    return D.clean_customer_orders(pizza_feed(t))
+def _clean(t: Tables, numbered: bool = True) -> DataFrame:
+    return D.clean_customer_orders(pizza_feed(t, numbered))
 
 
 def _toppings(t: Tables, name: str = "topping_name") -> DataFrame:
@@ -87,7 +96,7 @@ def delivered_by_runner(spark: SparkSession, sf: str) -> DataFrame:
 
 def top_extra(spark: SparkSession, sf: str) -> DataFrame:
     t = load_tables(spark, sf)
-    return I.top_modifier(_clean(t), "extras", _toppings(t, "new_topping_name"))
+    return I.top_modifier(_clean(t, numbered=False), "extras", _toppings(t, "new_topping_name"))
 
 
 def four_names(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from tavola.functions import csv_part, minutes_between, to_money
 from tavola.operators import next_after
+from tavola.plans import batches
 from tavola.plans import delivery as D
 from tavola.plans import diner
 from tavola.plans import ingredients as I
 from tavola.plans import raw_feed
 from tavola.sources import adapters as A
+from tavola.sources.batches import scratch_path
 from tavola.sources.testdata import load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +83,13 @@ def _d07(spark, sf):
     return diner.last_before_join(*_loyalty(spark, sf))
 
 
+@register("D07_last_before_signups")
+def _d07b(spark, sf):
+    t = load_tables(spark, sf)
+    joins = A.signups(t).select("customer_id", F.col("ts").alias("joined_at"))
+    return diner.last_purchases(A.event_sales(t), joins, longest_gap="2 days")
+
+
 @register("D08_spend_before_join")
 def _d08(spark, sf):
     return diner.spend_before_join(*_loyalty(spark, sf))
@@ -96,6 +105,14 @@ def _d10(spark, sf):
     return diner.points_with_boost(*_loyalty(spark, sf), until=A.POINTS_UNTIL, double_items=[A.DOUBLE_POINT_TYPE])
 
 
+@register("D10_points_over_periods")
+def _d10b(spark, sf):
+    t = load_tables(spark, sf)
+    day = F.to_date("ts")
+    periods = A.signups(t).select("customer_id", day.alias("start_date"), F.date_add(day, 1).alias("end_date"))
+    return diner.points_over_periods(A.event_sales(t), A.menu(t), periods, A.POINTS_UNTIL, [A.DOUBLE_POINT_TYPE])
+
+
 @register("D11_member_flag")
 def _d11(spark, sf):
     return diner.member_flag(*_loyalty(spark, sf))
@@ -106,6 +123,12 @@ def _d12(spark, sf):
     return diner.member_rank(*_loyalty(spark, sf))
 
 
+@register("D12_member_rank_by_instant")
+def _d12b(spark, sf):
+    sales, _, members = _loyalty(spark, sf)
+    return diner.member_rank_by_instant(sales, members)
+
+
 # ---------------------------------------------------------------- delivery
 
 
@@ -273,6 +296,17 @@ def _c19(spark, sf):
     return checked.groupBy("check_status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("C19_checked_write")
+def _c19b(spark, sf):
+    t = load_tables(spark, sf)
+    rules = {
+        "quantity": F.col("l_quantity").between(1, 45),
+        "discount": F.col("l_discount") < F.col("l_tax") + 0.08,
+        "shipped": F.col("l_shipdate") >= F.lit("1995-03-01").cast("timestamp_ntz"),
+    }
+    return D.check_counts(t.lineitem, rules, scratch_path(spark, "checked-lines"))
+
+
 @register("C20_delivery_report")
 def _c20(spark, sf):
     t, d = _dl(spark, sf)
@@ -301,6 +335,12 @@ def _a02(spark, sf):
     return D.unique_customers(_dl(spark, sf)[1].customer_orders)
 
 
+@register("A02_customers_in_periods")
+def _a02b(spark, sf):
+    orders = load_tables(spark, sf).orders
+    return D.unique_customers_in_periods(orders, "o_orderdate", "o_custkey")
+
+
 @register("A03_delivered_by_runner")
 def _a03(spark, sf):
     return D.delivered_by_runner(_dl(spark, sf)[1].runner_orders)
@@ -411,6 +451,11 @@ def _b06(spark, sf):
     return D.speed(_dl(spark, sf)[1].runner_orders)
 
 
+@register("B06_speed_positions")
+def _b06b(spark, sf):
+    return D.speed_with_position(_dl(spark, sf)[1].runner_orders)
+
+
 @register("B07_delivery_rate")
 def _b07(spark, sf):
     return D.delivery_rate(_dl(spark, sf)[1].runner_orders)
@@ -454,6 +499,12 @@ def _i05(spark, sf):
     return I.ingredient_list(_qty(d), d.records)
 
 
+@register("I05_ingredient_list_positions")
+def _i05b(spark, sf):
+    t, d = _dl(spark, sf)
+    return I.ingredient_list_with_position(_qty(d), d.records)
+
+
 @register("I06_ingredient_totals")
 def _i06(spark, sf):
     t, d = _dl(spark, sf)
@@ -491,6 +542,16 @@ def _e02(spark, sf):
     return D.revenue_with_extras(D.enrich_name(d.customer_orders, d.pizza_names), _PRICES, 10, premium, has_extra)
 
 
+@register("E02_best_paid_extras")
+def _e02b(spark, sf):
+    t = load_tables(spark, sf)
+    extras = t.lineitem.filter(F.col("l_returnflag") == "A").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("pos"), F.col("l_partkey").cast("string").alias("item"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+    )
+    return D.best_paid_extras(t.orders.select(F.col("o_orderkey").alias("order_id")), extras)
+
+
 @register("E05_profit")
 def _e05(spark, sf):
     t, d = _dl(spark, sf)
@@ -502,3 +563,4 @@ def _e05(spark, sf):
 
 # ---------------------------------------------------------------- messy text feeds
 QUERIES.update(raw_feed.KEYS)
+QUERIES.update(batches.KEYS)

@@ -52,6 +52,11 @@ def event_sales(t: Tables) -> DataFrame:
     )
 
 
+def signups(t: Tables) -> DataFrame:
+    """Every signup event: user, instant."""
+    return t.events.filter(F.col("event_type") == "signup").select(F.col("user_id").alias("customer_id"), "ts")
+
+
 def members(t: Tables) -> DataFrame:
     """A user's first signup day is the join day."""
     first = t.events.filter(F.col("event_type") == "signup").groupBy("user_id").agg(F.min(F.to_date("ts")).alias("join_date"))
