@@ -15,16 +15,20 @@ bytes into lengths, their running sum gives each id's place in the data, and fou
 gathers build the ranks.
 
 Blocks are rows of Parquet files, so any store that Spark writes to can hold them. A part is a
-range of doc_ids; its blocks are made by one task from the sorted rows of that range, and a
-block ends at ``BLOCK_TOKENS`` ids or, if later, with its document.
+range of the sorted documents, with bounds taken from the data, so neither an id far from the others
+nor many rows without an id make a part long; its blocks are made by one task, and a block ends at
+``BLOCK_TOKENS`` ids or, if later, with its document.
 
 The texts are encoded once; their ids stay in the shared folder until they are counted, ranked
-and sorted. A word between two white spaces is encoded on its own and remembered, as the
-vocabulary drops white space.
-
-Defined cases: a null or empty text has only the end id; a null doc_id sorts first; rows that
-repeat a doc_id follow each other by text; an empty table gives no blocks and an empty result;
-other columns are not read.
+and sorted. A word between two blanks or line ends is encoded on its own and remembered, as the
+vocabulary drops white space: the words of some megabytes of text are numbered by Arrow, each
+distinct one is looked up once, and numpy puts the ids of all words together.
+
+Defined cases: a null or empty text has only the end id; a text of any length is encoded whole, and one
+longer than ``CHUNK_BYTES`` by itself; a null doc_id sorts first; rows that repeat a doc_id, or have
+none, follow each other by the CRC of the text, equal rows in any order; ids of equal frequency are
+ranked by the smaller id; an empty table gives no blocks and an empty result; columns other than
+doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,12 +53,23 @@ END_ID = 2
 #: Documents of a part (a range of doc_ids), ids of a block.
 PART_DOCS = 4_096
 BLOCK_TOKENS = 1_000_000
+#: Bytes of text that are encoded at a time.
+CHUNK_BYTES = 4 << 20
+#: Equal rows go to this many places of the order, so that a part need not hold all of them.
+SALTS = 64
 #: Entries of a generation of a worker's word memo; longer words are not kept.
 WORD_MEMO = 400_000
 MEMO_CHARS = 64
 #: Signs that are tokens apart from the letters before them.
 SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
+#: Of a byte: 1 an ASCII letter, 2 a sign, 0 anything else.
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[[*range(65, 91), *range(97, 123)]] = 1
+_KINDS[list(SIGNS.encode())] = 2
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
 _LENGTHS = 1 + (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3)
 
 
@@ -110,30 +126,38 @@ class WordEncoder:
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _by_model(self, word: str) -> bytes:
+        return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
+
     def _by_library(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         rest = []
         for w in words:
             if w.isalpha() and w == w.lower() and is_normalized("NFC", w):
-                tokens = self.model.tokenize(w.encode().decode("latin-1").translate(self.letters))
-                yield w, array(self.code, [t.id for t in tokens]).tobytes()
+                yield w, self._by_model(w.encode().decode("latin-1").translate(self.letters))
             else:
                 rest.append(w)
         encoded = self.tokenizer.encode_batch(rest, add_special_tokens=False)
         yield from ((w, array(self.code, e.ids).tobytes()) for w, e in zip(rest, encoded, strict=True))
 
-    def encode(self, texts: list[str], end_id: int) -> list[bytes]:
-        """The ids of each text and the end id, as little-endian integers of ``dtype``."""
-        words = [t.replace("\n", " ").split(" ") for t in texts]
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct ``words``."""
         if len(self.memo) > WORD_MEMO:
             self.old, self.memo = self.memo, {}
         memo, old = self.memo, self.old
-        # one look-up a word in a large table; what is missing is filled in below
-        found = [list(map(memo.get, ws)) for ws in words]
-        parts = {}
-        for w in {w for ws, ids in zip(words, found, strict=True) if None in ids for w, x in zip(ws, ids, strict=True) if x is None}:
+        out = list(map(memo.get, words))
+        parts, places = {}, []
+        for at, ids in enumerate(out):
+            if ids is not None:
+                continue
+            w = words[at]
             if (ids := old.get(w)) is not None:
-                memo[w] = ids
+                out[at] = memo[w] = ids
+            elif w.isascii() and w.isalpha() and w.islower():
+                out[at] = ids = self._by_model(w)
+                if len(w) <= MEMO_CHARS:
+                    memo[w] = ids
             else:
+                places.append(at)
                 stem = w.rstrip(SIGNS)
                 low = stem.lower()
                 # only a capital sigma's lower case depends on its place
@@ -141,21 +165,56 @@ class WordEncoder:
                 parts[w] = (low, w[len(stem) :]) if apart else (w, "")
         known = {part: memo.get(part) or old.get(part) for pair in parts.values() for part in pair}
         known.update(self._by_library([part for part, ids in known.items() if ids is None]))
-        long = {}
-        for w, (stem, signs) in parts.items():
-            (memo if len(w) <= MEMO_CHARS else long)[w] = known[stem] + known[signs]
-            if len(stem) <= MEMO_CHARS:
-                memo[stem] = known[stem]
-        if long:
-            memo = {**memo, **long}
-        end = np.array([end_id], self.dtype).tobytes()
-        out = []
-        for ws, ids in zip(words, found, strict=True):
-            if None in ids:
-                ids = [memo[w] if x is None else x for w, x in zip(ws, ids, strict=True)]
-            out.append(b"".join(ids) + end)
+        for at in places:
+            w = words[at]
+            stem, signs = parts[w]
+            out[at] = known[stem] + known[signs]
+            for key, ids in ((w, out[at]), (stem, known[stem])):
+                if len(key) <= MEMO_CHARS:
+                    memo[key] = ids
         return out
 
+    def encoded(self, texts: list[bytes], end_id: int) -> pa.Array:
+        """The ids of each text (UTF-8) and the end id, as little-endian integers of ``dtype``."""
+        a = np.frombuffer(b"\n".join(texts), np.uint8)
+        inside = np.zeros(len(a) + 2, np.int8)
+        own = (a != 32) & (a != 10)
+        inside[1:-1] = own
+        edges = np.flatnonzero(np.diff(inside))
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        text_ends = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+        letters = a[own]
+        ends = np.cumsum(sizes)
+        # most words are ASCII letters and then signs: these two are encoded apart, in lower case
+        kind = _KINDS[letters]
+        last_letter = np.maximum.accumulate(np.where(kind == 1, np.arange(1, len(kind) + 1), 0))
+        stem = last_letter[ends - 1] - (ends - sizes) if len(ends) else ends
+        others = np.concatenate([[0], np.cumsum(kind == 0, dtype=np.int64)])
+        signs = np.concatenate([[0], np.cumsum(kind == 2, dtype=np.int64)])
+        plain = (stem > 0) & (others[ends] == others[ends - sizes]) & (signs[ends - sizes + np.maximum(stem, 0)] == signs[ends - sizes])
+        letters = np.where(np.repeat(plain, sizes), _LOWER[letters], letters)
+        cut = np.flatnonzero(plain & (stem < sizes))
+        offsets = np.insert(np.concatenate([[0], ends]), cut + 1, ends[cut] - sizes[cut] + stem[cut])
+        text_ends = text_ends + np.searchsorted(cut, text_ends)
+        words = pa.Array.from_buffers(
+            pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(letters))]
+        ).dictionary_encode()
+        ids = [*self._ids_of(words.dictionary.to_pylist()), np.array([end_id], self.dtype).tobytes()]
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        lengths_of = np.array([len(x) for x in ids]) // self.dtype.itemsize
+        first = np.cumsum(lengths_of) - lengths_of
+        # the end id stands behind the words of each text
+        codes = np.insert(words.indices.to_numpy(), text_ends, len(ids) - 1)
+        lengths = lengths_of[codes]
+        after = np.cumsum(lengths)
+        out = flat[np.arange(after[-1] if len(after) else 0) + np.repeat(first[codes] - after + lengths, lengths)]
+        bounds = np.zeros(len(texts) + 1, np.int64)
+        bounds[1:] = after[text_ends + np.arange(len(texts))] * self.dtype.itemsize
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(out))])
+
+    def encode(self, texts: list[str], end_id: int) -> list[bytes]:
+        return self.encoded([t.encode() for t in texts], end_id).to_pylist()
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
@@ -170,18 +229,32 @@ def _in_chunks(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[p
     return (b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))
 
 
+def _by_bytes(batches: Iterator[pa.RecordBatch], texts: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``most`` bytes of the column ``texts``, whole rows each."""
+    for b in batches:
+        before = np.cumsum(np.concatenate([[0], pc.binary_length(b[texts]).to_numpy(zero_copy_only=False)]))
+        start = 0
+        while start < b.num_rows:
+            end = max(start + 1, int(np.searchsorted(before, before[start] + most, side="right")) - 1)
+            yield b.slice(start, end - start)
+            start = end
+
+
 def encoded(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, tie (CRC of the text, to order rows that repeat a doc_id) and the ids in bytes."""
+    """doc_id, the ids in bytes, and tie and salt (the CRC of the text and a number of the row), which
+    order rows that repeat a doc_id and equal rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path)
-        for part in _in_chunks(batches):
-            texts = part["text"].to_pylist()
-            tie = pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64())
-            ids = pa.array(words.encode(texts, end_id), pa.binary())
-            yield pa.RecordBatch.from_arrays([part["doc_id"], tie, ids], names=["doc_id", "tie", "ids"])
+        words, row = encoder(path), 0
+        for part in _by_bytes(batches, "text"):
+            texts = part["text"].cast(pa.binary()).to_pylist()
+            tie = pa.array([zlib.crc32(t) for t in texts], pa.int64())
+            salt = pa.array(np.arange(row, row + len(texts)) % SALTS, pa.int64())
+            row += len(texts)
+            columns = [part["doc_id"], tie, salt, words.encoded(texts, end_id).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tie", "salt", "ids"])
 
-    return stash(on_workers(_texts(docs)).mapInArrow(run, "doc_id long, tie long, ids binary"), "token-ids")
+    return stash(on_workers(_texts(docs)).mapInArrow(run, "doc_id long, tie long, salt long, ids binary"), "token-ids")
 
 
 def id_ranks(ids: DataFrame, dtype: np.dtype) -> DataFrame:
@@ -219,52 +292,42 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = END_ID) -> tuple
     dtype = encoder(path).dtype
     ranks = id_ranks(ids, dtype)
     rank_of, _ = _rank_arrays(ranks)
-    low, high, n = ids.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    low, high = (0, 0) if low is None else (low, high)
-    width = max(1, -(-(high - low + 1) // max(1, -(-n // PART_DOCS))))
-    part = F.coalesce(F.floor((F.col("doc_id") - low) / F.lit(width)).cast("long"), F.lit(-1))
-
-    def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _in_chunks(batches):
-            own = [np.frombuffer(x, dtype) for x in b["ids"].to_pylist()]
-            packed = [pack(rank_of[x]) for x in own]
-            lengths = pa.array([len(x) for x in own], pa.int64())
-            control, data = (pa.array([p[k] for p in packed], pa.binary()) for k in (0, 1))
-            columns = [b["part"], b["doc_id"], b["tie"], lengths, control, data]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "doc_id", "tie", "n", "control", "data"])
-
-    rows = on_workers(ids).withColumn("part", part).mapInArrow(
-        rank, "part long, doc_id long, tie long, n long, control binary, data binary"
-    )
-    blocks = rows.repartition("part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "tie").mapInArrow(
-        _to_blocks, "part long, block long, n long, doc_ids binary, nulls binary, lengths binary, control binary, data binary"
-    )
-    return stash(blocks, "token-blocks"), ranks
+    parts = max(1, -(-ids.count() // PART_DOCS))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie"), F.col("salt")]
+    rows = on_workers(ids).repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "ids")
+
+    def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _to_blocks(batches, rank_of, dtype)
+
+    schema = "part long, block long, n long, doc_ids binary, nulls binary, lengths binary, control binary, data binary"
+    return stash(rows.mapInArrow(to_blocks, schema), "token-blocks"), ranks
+
 
+def _to_blocks(batches: Iterator[pa.RecordBatch], rank_of: np.ndarray, dtype: np.dtype) -> Iterator[pa.RecordBatch]:
+    """Joins the sorted documents of a part to blocks; the part is the task's range."""
+    from pyspark import TaskContext
 
-def _to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Joins the sorted documents of a part to blocks."""
-    part, block, held, size = None, 0, [], 0
+    part = TaskContext.get().partitionId()
+    block, doc_ids, held, size = 0, [], [], 0
 
     def flush() -> pa.RecordBatch:
-        ranks = np.concatenate([unpack(c, d, n) for _, n, c, d in held])
-        control, data = pack(ranks)
+        lengths = np.array([len(x) // dtype.itemsize for x in held], "<i8")
+        control, data = pack(rank_of[np.frombuffer(b"".join(held), dtype)])
         fields = (
-            np.array([x[0] or 0 for x in held], "<i8").tobytes(), bytes(x[0] is None for x in held),
-            np.array([x[1] for x in held], "<i8").tobytes(), control, data,
+            np.array([i or 0 for i in doc_ids], "<i8").tobytes(), bytes(i is None for i in doc_ids), lengths.tobytes(), control, data,
         )
         names = ["part", "block", "n", "doc_ids", "nulls", "lengths", "control", "data"]
-        numbers = [pa.array([x], pa.int64()) for x in (part, block, len(ranks))]
+        numbers = [pa.array([x], pa.int64()) for x in (part, block, int(lengths.sum()))]
         return pa.RecordBatch.from_arrays([*numbers, *(pa.array([x], pa.binary()) for x in fields)], names=names)
 
-    for b in _in_chunks(batches, 256):
-        for row in zip(*(b[k].to_pylist() for k in ("part", "doc_id", "n", "control", "data")), strict=True):
-            if held and (row[0] != part or size >= BLOCK_TOKENS):
+    for b in _in_chunks(batches):
+        for doc_id, ids in zip(b["doc_id"].to_pylist(), b["ids"].to_pylist(), strict=True):
+            if size >= BLOCK_TOKENS:
                 yield flush()
-                block, held, size = (block + 1 if row[0] == part else 0), [], 0
-            part = row[0]
-            held.append(row[1:])
-            size += row[2]
+                block, doc_ids, held, size = block + 1, [], [], 0
+            doc_ids.append(doc_id)
+            held.append(ids)
+            size += len(ids) // dtype.itemsize
     if held:
         yield flush()
 

@@ -39,6 +39,19 @@ def test_words_equal_the_library(library):
         assert got == [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
 
 
+def test_random_texts_equal_the_library(library):
+    import random
+
+    rng = random.Random(4)
+    parts = ["a", "The", "ing", "É", "é", "'s", "'T", ".", "!!", "<|", "|>", "<|endoftext|>", "<|ENDOFTEXT|>", "endoftext", "12", "\t", " ", "\n", "  ", "\x00", "\x1c", "中", "’", "Σ", "ſ", "\u0301", "_", "-"]
+    words = token_files.WordEncoder(PATH)
+    for _ in range(60):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(40)]
+        got = [np.frombuffer(b, words.dtype).tolist() for b in words.encode(texts, 2)]
+        want = [library.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        assert got == want, [t for t, g, w in zip(texts, got, want, strict=True) if g != w][:1]
+
+
 def test_files_read_back(spark, edge_docs, no_docs, library, monkeypatch):
     monkeypatch.setattr(token_files, "PART_DOCS", 4)
     blocks, ranks = token_files.write_token_files(edge_docs, PATH)
@@ -63,3 +76,33 @@ def test_files_read_back(spark, edge_docs, no_docs, library, monkeypatch):
     assert plain.ids == library.encode("one", add_special_tokens=False).ids + [2]
     blocks, ranks = token_files.write_token_files(no_docs, PATH)
     assert token_files.read_token_files(blocks, ranks, token_files.crc32_of_ids).count() == 0
+
+
+def test_parts_follow_the_data(spark, monkeypatch):
+    """A far id, or no ids, or equal rows, make no part long."""
+    monkeypatch.setattr(token_files, "PART_DOCS", 100)
+    for rows in (
+        [(i, f"word {i}") for i in range(2000)] + [(10**12, "far")],
+        [(None, f"word {i}") for i in range(2000)],
+        [(None, "the same text") for _ in range(2000)],
+    ):
+        blocks, ranks = token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), PATH)
+        sizes = [len(r.nulls) for r in blocks.collect()]
+        assert sum(sizes) == len(rows) and max(sizes) < 400
+        got = sorted((r.start, r.n_tokens) for r in token_files.read_token_files(blocks, ranks, token_files.crc32_of_ids).collect())
+        assert all(a + n == b for (a, n), (b, _) in zip(got, got[1:], strict=False))
+
+
+def test_chunks_of_texts(library, monkeypatch):
+    import pyarrow as pa
+
+    texts = ["", "a b", " ", "\n", "lead " * 50, "x", "", "two\n\nlines ", "é ÉÀ"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    for most in (1, 4, 300, 10**6):
+        parts = [p["text"].to_pylist() for p in token_files._by_bytes(iter([batch, batch.slice(3)]), "text", most)]
+        assert [t for p in parts for t in p] == texts + texts[3:]
+        assert all(len(p) == 1 or sum(len(t.encode()) for t in p) <= most for p in parts)
+    words = token_files.WordEncoder(PATH)
+    for some in (texts, texts[:1], [" "], texts[::-1]):
+        got = [np.frombuffer(b, words.dtype).tolist() for b in words.encode(some, 2)]
+        assert got == [library.encode(t, add_special_tokens=False).ids + [2] for t in some]
