@@ -64,7 +64,8 @@ def test_equals_a_queue_in_python(spark, docs):
     slim = {r.doc_id: r for r in mixing.mix(docs).collect()}
     from pyspark.sql import functions as F
 
-    keys = {r.doc_id: r.k for r in docs.select("doc_id", mixing._shuffle_key(F.col("doc_id"), 0).alias("k")).collect()}
+    place = mixing._shuffle_key(F.col("doc_id"), mixing._text_hash(F.col("text")), F.lit(1).cast("bigint"), 0)
+    keys = {r.doc_id: r.k for r in docs.select("doc_id", place.alias("k")).collect()}
     queue, budget = [], 0
     for source in {r.source for r in slim.values()}:
         own = sorted((keys[i], i) for i, r in slim.items() if r.source == source)
@@ -92,3 +93,35 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert mixing.mix(no_docs).count() == 0
     plan = mixing.mix(edge_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def _near_targets(got, longest):
+    taken = {}
+    for r in got:
+        t = taken.setdefault(r.source, [0, r.mix_target])
+        t[0] += r.mix_copies * r.mix_size
+    assert all(abs(t - target) <= longest for t, target in taken.values()), taken
+
+
+@pytest.mark.parametrize("id_of", [lambda i: None if i % 3 == 0 else i, lambda i: 7 if i % 3 == 0 else i, lambda i: None])
+def test_targets_with_repeated_or_missing_ids(spark, id_of):
+    rng = random.Random(8)
+    rows = [(id_of(i), " ".join([f"w{i}"] * rng.randint(0, 60)), s) for i, s in enumerate(["a"] * 600 + ["b"] * 300 + ["c"] * 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows)
+    _near_targets(got, 60)
+    key = lambda r: (str(r.doc_id), r.text, r.source, r.mix_copies)
+    assert sorted(map(key, got)) == sorted(map(key, mixing.mix(docs.repartition(7)).collect()))
+
+
+def test_equal_rows_are_taken_one_by_one(spark):
+    rows = [(None, "same words again", "a", k % 3) for k in range(600)] + [(5, "and these here too", "a", 0)] * 300 + [(i, f"x{i} y z", "b", 0) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, more int")
+    got = mixing.mix(docs).collect()
+    assert sorted((str(r.doc_id), r.text, r.more) for r in got) == sorted((str(i), t, m) for i, t, _, m in rows)
+    _near_targets(got, 4)
+    assert len({r.mix_copies for r in got if r.doc_id is None}) > 1  # some are taken more often than others
+    key = lambda r: (str(r.doc_id), r.text, r.mix_copies)
+    assert sorted(map(key, got)) == sorted(map(key, mixing.mix(docs.repartition(7)).collect()))
+    assert mixing.mixed_documents(docs).count() == sum(r.mix_copies for r in got)
