@@ -3,15 +3,18 @@
 Stages (each takes the documents its predecessor kept):
 
 1. quality: score every document with the rule ensemble; rejected documents go.
-2. near_duplicates: one document of every group of near-duplicates stays (five-word shingles, a
-   similarity of 0.80 or more).
+2. near_duplicates: one row of every group of near-duplicates stays (five-word shingles, a
+   similarity of 0.80 or more), the one of the smallest doc_id.
 3. personal_data: spans that rules and the conditional random field find are masked.
 4. mixing: weighted fair queueing over sources; a document taken twice stands there twice.
 5. encoding: byte-level BPE ids of every document, and what they decode to.
 
-Defined cases are those of the operators; rows without a doc_id pass the second stage; of rows
-that repeat a doc_id it takes the one of the longest text before it looks for near-duplicates, so
-that nothing under another id goes for a row that is not kept.
+Defined cases are those of the operators. The second stage compares rows, whatever their ids: rows
+without a doc_id are compared like any other and stay only where no row with one is near them; rows
+that repeat a doc_id are rows of their own, so no text goes unless a near-duplicate of it stays, and an
+id whose texts differ stays once for each group. Rows without words are near to nothing and stay.
+Equal rows are one group; texts of any length are read whole; columns other than those of documents are
+dropped; an empty table passes all stages.
 """
 
 from __future__ import annotations
@@ -35,24 +38,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rule_quality.scored(docs, model).filter("predicted = 1").select(*COLUMNS)
 
 
-def one_of_each_id(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of every doc_id, the longest text, and all rows without a doc_id."""
-    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1")
-    repeated = stash(repeated.select("doc_id"), "repeated-ids")
-    if repeated.isEmpty():
-        return docs
-    repeated = broadcast_if_small(repeated)
-    rest = [c for c in COLUMNS if c not in ("doc_id", "text")]
-    row = F.struct(F.char_length("text").alias("length"), "text", *rest)
-    one = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.max(row).alias("row")).select("doc_id", "row.*")
-    return stash(docs.join(repeated, "doc_id", "left_anti").select(*COLUMNS).unionByName(one.select(*COLUMNS)), "one-of-each-id")
-
-
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = one_of_each_id(docs.select(*COLUMNS))
-    kept = near_duplicates.near_duplicates(docs, SIMILAR).filter("kept").select(F.col("doc_id").alias("__id"))
-    kept = broadcast_if_small(stash(kept, "kept"))
-    return docs.join(kept, docs["doc_id"] == kept["__id"], "left").filter("doc_id IS NULL OR __id IS NOT NULL").select(*COLUMNS)
+    # rows get numbers of their own, written down, so that equal and missing ids tell them apart
+    rows = stash(docs.select(*COLUMNS).withColumn("__row", F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), SIMILAR)
+    groups = groups.select(F.col("doc_id").alias("__row"), "component_id").join(rows.select("__row", "doc_id"), "__row")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))
+    kept = stash(groups.groupBy("component_id").agg(first.alias("first")).select("first.__row"), "kept")
+    return rows.join(broadcast_if_small(kept), "__row", "left_semi").select(*COLUMNS)
 
 
 def masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
