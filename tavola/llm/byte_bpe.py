@@ -12,8 +12,11 @@ and steps back where none is, marking the byte it stepped back from so that no b
 twice. Compatibility of a pair is found by undoing merges from the seam outwards, latest first,
 and is memoised.
 
-Defined cases: a null or empty text has no ids and decodes to no bytes. Memory of a task: one
-Arrow batch, and word and pair memos of bounded length.
+Defined cases: a null or empty text has no ids and decodes to no bytes; a text of any length is encoded
+whole; of equal merges the leftmost goes first, as in the library; repeated rows and rows without doc_id
+are encoded like any other; an empty table gives an empty result; columns other than doc_id and text are
+not read, whatever their names. Memory of a task: one Arrow batch, and word and pair memos of bounded
+length.
 """
 
 from __future__ import annotations

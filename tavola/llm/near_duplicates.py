@@ -22,7 +22,8 @@ Texts are read twice, once for the bands and once for signatures and sets of the
 share a bucket with another.
 
 Defined cases: a null, empty or blank text has the empty set and is linked with nothing, its own
-component; a text of fewer than five words has its whole sequence as one shingle; rows that
+component; a text of fewer than five words has its whole sequence as one shingle; a text of any length
+is compared by its full set; ties for a bucket's centre go to the smaller number; rows that
 repeat a doc_id with different sets are compared each by its own and share one component (but
 for empty sets); null doc_ids are returned with a null component and not kept; an empty table gives an
 empty result; other columns are not read.

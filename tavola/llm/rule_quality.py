@@ -7,9 +7,11 @@
 4. ``RuleModel.score`` is a Spark column: the logistic function of the weighted sum of the rules
    that remain. Scoring is plain expressions over the statistics.
 
-Defined cases: a null text is the empty text, all of whose statistics are 0; labels that are
-null or not 0 or 1 are not learnt from, and of contradicting labels of a document the smaller
-counts; without rows of both labels the model has no rules and scores the share of label 1
+Defined cases: a null text is the empty text, all of whose statistics are 0; statistics are of whole
+texts, whatever their length; labels that are null or not 0 or 1 are not learnt from, of contradicting
+labels of a document the smaller counts, and of several texts of one id the smallest, so a rerun fits
+the same model; every row is scored, repeated ones alike; a score of just 0.5 is predicted as 1; without
+rows of both labels the model has no rules and scores the share of label 1
 (0.5 without labels); an empty table gives an empty result; statistics are in columns that begin
 with ``stat_`` and replace columns of that name.
 """
@@ -218,7 +220,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, seed: int =
         .orderBy(F.xxhash64("label_id", F.lit(seed)), "label_id").limit(sample)
     )
     own = docs.select("doc_id", "text").join(F.broadcast(usable), F.col("doc_id") == F.col("label_id"))
-    rows = with_statistics(own, ["doc_id", "y"]).dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    own = own.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    rows = with_statistics(own, ["doc_id", "y"]).toPandas().sort_values("doc_id")
     x = rows[[f"stat_{s}" for s in STATISTICS]].to_numpy(float)
     return RuleModel.fit(x, rows["y"].to_numpy(float), seed)
 
