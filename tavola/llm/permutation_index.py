@@ -1,20 +1,24 @@
 """Nearest neighbours by largest inner product, through a permutation index.
 
-A bounded sample of the vectors serves as pivots. Every vector is represented by its ``PREFIX``
-nearest pivots in order, and posted under each of them with its place in that order. A query
-walks the postings of its own nearest pivots; what the places have in common adds up to the
-induced Spearman footrule distance between the two orders. The candidates of least distance
-are ranked anew by the inner product of the original vectors in double precision.
-
-The index is cut into shards of ``SHARD_ROWS`` vectors and the stated queries into blocks; one
-task searches one shard for one block and returns a bounded list per query, and the lists are
-merged. Equal vectors are one class: each class is indexed once with its smallest ids, which is
-all that 20 nearest can need, so a vector that a third of all rows share costs one entry.
-
-Defined cases: vectors that are null, all zero, hold a null or non-finite component, or have
-another length than the most frequent one (ties: the longer) take no part, nor do null ids; rows
-that repeat an id with the same vector count once; a query is never its own result; ties go to
-the smaller id; an empty table gives an empty result; other columns are not read.
+The index is cut into shards of about ``SHARD_ROWS`` vectors of one length. In a shard a bounded sample
+of its vectors serves as pivots. Every vector is represented by its ``PREFIX`` nearest pivots in order,
+and posted under each of them with its place in that order. A query walks the postings of its own
+nearest pivots; what the places have in common adds up to the induced Spearman footrule distance
+between the two orders. The candidates of least distance are ranked anew by the inner product of the
+original vectors in double precision.
+
+The stated queries are cut into blocks; one task searches one shard for one block and returns a bounded
+list per query, and the lists are merged. An inner product needs two vectors of one length, so a query
+is searched among the vectors of its own length, whatever lengths the table holds; numbers of shards
+and blocks follow the number of vectors of a length. Equal vectors are one class: each class is indexed
+once with its smallest ids, which is all that 20 nearest can need, so a vector that a third of all rows
+share costs one entry.
+
+Defined cases: vectors that are null, all zero, or hold a null or non-finite component take no part, nor
+do null ids; vectors of any length are searched, each among its like; rows that repeat an id with the
+same vector count once; a query is never its own result, and has fewer results where fewer vectors of
+its length exist; ties go to the smaller id; an empty table gives an empty result; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -25,12 +29,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tavola.llm._shared import on_workers, stash, table
+from tavola.operators.joins import broadcast_if_small
 
 NEAREST = 20
 PIVOTS, PREFIX = 256, 64
 #: Share of a shard's vectors, by footrule distance, that is ranked by the exact measure.
 RERANK, RERANK_LEAST = 0.35, 300
-SHARD_ROWS, QUERY_ROWS = 4096, 4096
+SHARD_ROWS, QUERY_ROWS = 4096, 16_384
 SALTS = 32
 
 
@@ -40,12 +45,10 @@ def _usable(v: Column) -> Column:
 
 
 def vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id, v (array of double) and the class key (k1, k2) of the rows that take part."""
+    """vec_id, v (array of double) and the class key (k1, k2) of the rows that take part. Vectors of
+    two lengths are two classes."""
     v = F.col(vector_col).cast("array<double>")
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).filter("vec_id IS NOT NULL").filter(_usable(F.col("v")))
-    rows = rows.withColumn("n", F.size("v"))
-    most = rows.groupBy("n").count().orderBy(F.col("count").desc(), F.col("n").desc()).limit(1).select(F.col("n").alias("dim"))
-    rows = rows.join(F.broadcast(most), F.col("n") == F.col("dim"))
     return rows.select("vec_id", "v", F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(1), "v").alias("k2"))
 
 
@@ -68,6 +71,13 @@ def _orders(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :prefix]
 
 
+def pivots_of(ids: np.ndarray, x: np.ndarray, seed: int) -> np.ndarray:
+    """At most PIVOTS rows of ``x``, those of the smallest hashes of their ids."""
+    hashed = (ids.astype(np.uint64) + np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+    hashed ^= hashed >> np.uint64(32)
+    return x[np.lexsort((ids, hashed * np.uint64(0xD1B54A32D192ED03)))[:PIVOTS]]
+
+
 def search_shard(
     ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, pivots: np.ndarray, most: int, rerank: float
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,31 +111,31 @@ def search(
     """query_id, rank, vec_id, score: the ``nearest`` rows found for each row ``is_query`` (a
     condition on vec_id) holds for."""
     rows = vectors(df, id_col, vector_col)
-    index = stash(classes(rows, nearest), "index-classes")
+    index = stash(classes(rows, nearest).withColumn("n", F.size("v")), "index-classes")
     asked = rows.filter(is_query).select("vec_id", "k1", "k2").dropDuplicates(["vec_id", "k1", "k2"])
     asked = stash(asked.join(index.select("k1", "k2", "cid"), ["k1", "k2"]).select(F.col("vec_id").alias("query_id"), "cid"), "index-queries")
-    # at most PIVOTS rows come to the driver
-    sample = index.orderBy(F.xxhash64("cid", F.lit(seed)), "cid").limit(PIVOTS).select("v").collect()
-    pivots = np.array([r["v"] for r in sample], float)
-    n = index.count()
-    ask = asked.select("cid").distinct().join(index.select("cid", "v"), "cid")
-    shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-asked.select("cid").distinct().count() // QUERY_ROWS))
-    near = lambda col, many, s: F.pmod(F.xxhash64(col, F.lit(s)), F.lit(many)).cast("int")
-    each = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
-    left = ask.select(F.col("cid").alias("asked"), F.col("v").alias("q"), near("cid", blocks, 2).alias("block"), each(shards).alias("of"))
-    right = index.select("cid", "v", near("cid", shards, 1).alias("shard"), each(blocks).alias("for_block"))
+    ask = asked.select("cid").distinct().join(index.select("cid", "v", "n"), "cid")
+    # how many shards and blocks the vectors of a length make
+    parts = lambda rows, out: F.ceil(F.count(F.lit(1)) / F.lit(rows)).cast("int").alias(out)
+    lengths = index.groupBy("n").agg(parts(SHARD_ROWS, "shards")).join(ask.groupBy("n").agg(parts(QUERY_ROWS, "blocks")), "n")
+    lengths = broadcast_if_small(stash(lengths, "index-lengths"))
+    near = lambda col, many, s: F.pmod(F.xxhash64(col, F.lit(s)), F.col(many)).cast("int")
+    each = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - 1))
+    left = ask.join(lengths, "n").select(
+        F.col("n").alias("of_length"), F.col("cid").alias("asked"), F.col("v").alias("q"), near("cid", "blocks", 2).alias("block"), each("shards").alias("of")
+    )
+    right = index.join(lengths, "n").select("n", "cid", "v", near("cid", "shards", 1).alias("shard"), each("blocks").alias("for_block"))
 
     def run(queries: pa.Table, base: pa.Table) -> pa.Table:
         names = ["query", "cid", "score"]
         if not queries.num_rows or not base.num_rows:
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=names)
         matrix = lambda t, c: np.array(t[c].combine_chunks().flatten()).reshape(t.num_rows, -1)
-        found = search_shard(
-            np.array(base["cid"]), matrix(base, "v"), np.array(queries["asked"]), matrix(queries, "q"), pivots, nearest + 1, rerank
-        )
+        ids, x = np.array(base["cid"]), matrix(base, "v")
+        found = search_shard(ids, x, np.array(queries["asked"]), matrix(queries, "q"), pivots_of(ids, x, seed), nearest + 1, rerank)
         return pa.table([pa.array(c) for c in found], names=names)
 
-    lists = on_workers(left).groupBy("block", "of").cogroup(right.groupBy("for_block", "shard")).applyInArrow(run, "query long, cid long, score double")
+    lists = on_workers(left).groupBy("of_length", "block", "of").cogroup(right.groupBy("n", "for_block", "shard")).applyInArrow(run, "query long, cid long, score double")
     # a class's smallest id stands before its others, so the best classes hold the best rows
     best = Window.partitionBy("query").orderBy(F.col("score").desc(), "cid")
     lists = lists.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= nearest + 1)

@@ -60,3 +60,19 @@ def test_footrule_from_shared_places():
     footrule = np.abs(place[:1] - place).sum(1)
     shared = np.minimum(prefix - place[:1], prefix - place).sum(1)
     assert (footrule == prefix * (prefix + 1) - 2 * shared).all()
+
+
+def test_every_length_is_searched(spark):
+    """Vectors of several lengths: each query is answered among those of its own."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=(4, 8, 3)[i % 3]).tolist()) for i in range(240)] + [(1000, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in index.search(df, "vec_id", "embedding", F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    vectors = dict(rows)
+    assert sorted(got) == [i for i in range(0, 240, 20)]  # 1000 is alone in its length
+    for q, found in got.items():
+        own = {i: float(np.dot(v, vectors[q])) for i, v in vectors.items() if i != q and len(v) == len(vectors[q])}
+        want = sorted(own, key=lambda i: (-own[i], i))[:20]
+        assert [v for _, v, _ in sorted(found)] == want
