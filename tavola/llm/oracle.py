@@ -32,11 +32,14 @@ SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(p.comp, d.doc_
 FROM sets d LEFT JOIN classes c ON list_sort(d.s) = c.s LEFT JOIN comps p ON p.c = c.c
 """
 
-# A lookbehind cut after a separator equals taking pieces up to and with the next separator. Runs
-# of three line breaks, where the two would differ, are not in the tables.
+# Pieces up to and with the next separator, from the left, are what the operator's cuts give. Words
+# that their MD5 picks are marked first, as leaves end behind them too.
+_MARKED = r"""array_to_string(list_transform(
+    regexp_extract_all(replace({text}, chr(1), chr(1) || chr(1)), '(?s)[^ \n]*[ \n]|[^ \n]+$'),
+    lambda word: if(starts_with(md5(word), '0') AND regexp_matches(word, '[^.!?] $'), word || chr(1) || chr(2), word)), '')"""
 _TREE = r"""list_transform(regexp_extract_all({text}, '(?s).*?\n\n|.+$'), lambda section:
     list_transform(regexp_extract_all(section, '(?s).*?\n|.+$'), lambda paragraph:
-      list_transform(regexp_extract_all(paragraph, '(?s).*?[.!?] |.+$'), lambda sentence: sha256('leaf:' || sentence))))"""
+      list_transform(regexp_extract_all(paragraph, '(?s).*?(?:[.!?] |\x01\x02)|.+$'), lambda sentence: sha256('leaf:' || sentence))))"""
 _ROOT = """sha256('document:' || array_to_string(list_transform({tree}, lambda ps: sha256('section:' ||
     array_to_string(list_transform(ps, lambda ls: sha256('paragraph:' || array_to_string(ls, ''))), ''))), ''))"""
 _LIKE = """CASE WHEN len({a}) + len({b}) = 0 THEN 1.0 ELSE CAST(len(list_intersect({a}, {b})) AS DOUBLE)
@@ -51,9 +54,10 @@ n AS (
 e AS (
   SELECT *, substring(text, 1, n_chars - n_chars // 2) || substring(following, 1, n_chars // 2) AS edited FROM n),
 t AS (
-  SELECT doc_id, n_chars, edited, {_TREE.format(text='text')} AS own, {_TREE.format(text='edited')} AS changed,
-         {_TREE.format(text='following')} AS after
-  FROM e),
+  SELECT doc_id, n_chars, edited, {_TREE.format(text='own_marked')} AS own, {_TREE.format(text='edited_marked')} AS changed,
+         {_TREE.format(text='next_marked')} AS after
+  FROM (SELECT *, {_MARKED.format(text='text')} AS own_marked, {_MARKED.format(text='edited')} AS edited_marked,
+               {_MARKED.format(text='following')} AS next_marked FROM e)),
 l AS (
   SELECT *, list_distinct(flatten(flatten(own))) AS a, list_distinct(flatten(flatten(changed))) AS b,
          list_distinct(flatten(flatten(after))) AS c FROM t)

@@ -6,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from tavola.llm import merkle
+from tavola.llm._shared import Ranges
 
 
 def sha(s):
@@ -16,13 +17,20 @@ def cut(text, end):
     return [p for p in re.split(end, text) if p]
 
 
+def marked(text):
+    """The text with marks behind the words that its content picks."""
+    words = re.findall(r"(?s)[^ \n]*[ \n]|[^ \n]+$", text.replace("\x01", "\x01\x01"))
+    picked = lambda w: hashlib.md5(w.encode()).hexdigest()[0] == "0" and re.search("[^.!?] $", w)
+    return "".join(w + merkle.MARK if picked(w) else w for w in words)
+
+
 def plain(text):
     """(root, set of leaves)."""
     sections, leaves = [], set()
-    for section in cut(text, merkle.SECTION_END):
+    for section in cut(marked(text), merkle.SECTION_END):
         paragraphs = []
         for paragraph in cut(section, merkle.PARAGRAPH_END):
-            own = [sha("leaf:" + s) for s in cut(paragraph, merkle.SENTENCE_END)]
+            own = [sha("leaf:" + s) for s in re.findall(r"(?s).*?(?:[.!?] |\x01\x02)|.+$", paragraph)]
             leaves |= set(own)
             paragraphs.append(sha("paragraph:" + "".join(own)))
         sections.append(sha("section:" + "".join(paragraphs)))
@@ -69,6 +77,39 @@ def test_differing_branches_locate_edits(spark):
             assert got[i] == where
 
 
+def test_unchanged_halves_share_leaves(spark):
+    """Also in texts without full stops or line breaks."""
+    words = [f"word{i * 7919 % 1000}" for i in range(300)]
+    rows = [(0, " ".join(words)), (1, ".&&& ".join(words)), (2, " | ".join(words)), (3, "x" * 50), (4, "tail\x01\x02 " * 40)]
+    got = {r.doc_id: r for r in merkle.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].near_edited > 0.2 for i in (0, 1, 2))
+
+
+def test_marks_tell_texts_apart(spark):
+    texts = ["a b\x01c", "a b\x01\x01c", "a b\x02c", "a b\x01\x02c", "a bc", "\x01", "\x01\x01"]
+    picked = next(w for w in (f"w{i} " for i in range(500)) if hashlib.md5(w.encode()).hexdigest()[0] == "0")
+    texts += [picked + "x", picked + "\x01\x02x", picked + "\x02x", picked + "\x01x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert merkle.fingerprints(df).select("fingerprint").distinct().count() == len(texts)
+
+
+def test_ranges_follow_the_data(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "RANGE_ROWS", 100)
+    for rows in (
+        [(i, f"text {i}") for i in range(2000)] + [(10**12, "far")],
+        [(None, f"{i} text") for i in range(2000)],
+        [(7, f"{i} text") for i in range(2000)] + [(8, "next")],
+    ):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        follows = {r: want[(k + 1) % len(want)][1] for k, r in enumerate(want)}
+        got = merkle.with_next(df).collect()
+        assert {(r.doc_id, r.text): r.next.text for r in got} == follows and len(got) == len(rows)
+        keys = df.select("doc_id", F.substring("text", 1, merkle.PREFIX).alias("prefix"))
+        sizes = [r["count"] for r in Ranges(keys, 100).number(keys, "range").groupBy("range").count().collect()]
+        assert len(sizes) >= 20 and max(sizes) <= 101
+
+
 def test_plan_has_no_python(spark, edge_docs):
     plan = merkle.fingerprints(edge_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
