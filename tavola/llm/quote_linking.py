@@ -13,7 +13,8 @@ and time, a conversation reads in the order of replies, without quotes.
 Hashes are reduced to one original each before the join, so a passage that a third of all
 messages quote costs one row on that side, and no pairs of messages are made.
 
-Defined cases: a null text is empty; empty and blank passages link to nothing; a null thread or
+Defined cases: a null text is empty; a text of any length is parsed whole, in linear time; of several
+originals sent at once the one of the smaller thread counts; empty and blank passages link to nothing; a null thread or
 time makes a message that neither quotes nor is quoted, its own conversation at depth 0; rows that
 repeat (thread, time) share one place in the conversation, whose parent is the least of theirs;
 an empty table gives an empty result; other columns are not read.
@@ -28,11 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tavola.llm._shared import on_workers, stash, table
+from tavola.llm._shared import Ranges, on_workers, stash, table
+from tavola.operators.joins import broadcast_if_small
 
 _QUOTED = re.compile(r"((?:[ \t]?>)+)[ \t]?(.*)", re.DOTALL)
 _WROTE = re.compile(r"(?i)\s*(?:on\b.*|.*\b)(?:wrote|writes|said)\s*:\s*")
 _BLANK = " \t\n\r\x0b\x0c"
+#: Messages that are ordered in one task.
+RANGE_ROWS = 4096
 #: The grains a text is hashed in, coarsest first.
 WHOLE, PARAGRAPH, LINE = 0, 1, 2
 
@@ -171,14 +175,35 @@ def _ancestors(parents: DataFrame) -> DataFrame:
             return done
 
 
+def _with_two_before(d: DataFrame) -> DataFrame:
+    """``d`` (conv_id, turn, text, more) plus one and two, the texts of the two turns before in the same
+    conversation. Messages are cut into ranges of (conv_id, turn) with bounds from the data, and the
+    last two of a range are also sent to the next, so a conversation of any length is ordered by many
+    tasks."""
+    ranges = Ranges(d.select("conv_id", "turn").distinct(), max(3, RANGE_ROWS))
+    d = ranges.number(d, "range")
+    # the keys at which ranges begin, and the two keys before each
+    until = ranges.placed.select("conv_id", "turn", "__at", F.pmod(-F.col("__at"), F.lit(ranges.rows)).alias("off")).filter("off <= 2")
+    until = until.withColumn("of", F.col("__at") + F.col("off"))
+    begins = ranges.number(until.filter("off = 0"), "also_in").select("of", "also_in")
+    ends = until.filter("off > 0").select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), "of").join(F.broadcast(begins), "of")
+    sent = ends.groupBy("c", "t").agg(F.collect_set("also_in").alias("also_in"))
+    d = d.join(broadcast_if_small(sent), F.col("conv_id").eqNullSafe(F.col("c")) & F.col("turn").eqNullSafe(F.col("t")), "left")
+    more = F.filter(F.coalesce("also_in", F.array().cast("array<bigint>")), lambda r: r != F.col("range"))
+    at = F.concat(F.array(F.struct(F.col("range").alias("range"), F.lit(True).alias("own"))), F.transform(more, lambda r: F.struct(r.alias("range"), F.lit(False).alias("own"))))
+    d = d.withColumn("at", F.explode(at)).drop("c", "t", "also_in", "range")
+    before = Window.partitionBy("at.range").orderBy("conv_id", "turn", "at.own")
+    last = lambda k: F.when(F.lag("conv_id", k).over(before).eqNullSafe(F.col("conv_id")), F.lag("text", k).over(before))
+    return d.withColumns({"one": last(1), "two": last(2)}).filter("at.own").drop("at")
+
+
 def as_mail(conversations: DataFrame) -> DataFrame:
     """The conversations as mail: each turn quotes the turn before it in full and, one level
     deeper, the turn before that, as mail programs do."""
-    before = Window.partitionBy("conv_id").orderBy("turn")
     quoted = lambda col, mark: F.concat(F.lit(mark), F.regexp_replace(col, "\n", "\n" + mark))
     text = F.coalesce(F.col("text"), F.lit(""))
     d = conversations.select("conv_id", "turn", "role", text.alias("text"))
-    d = d.withColumns({"one": F.lag("text", 1).over(before), "two": F.lag("text", 2).over(before)})
+    d = _with_two_before(d)
     mail = F.concat_ws(
         "\n", "text",
         F.when(F.col("one").isNotNull(), F.concat(F.lit("\nThe other side wrote:\n"), quoted(F.col("one"), "> "))),

@@ -71,3 +71,23 @@ def test_conversations_come_back_from_mail(spark):
     got = ql.query(spark, sf).collect()
     assert {(r.conv_id, r.turn): r.text for r in got} == want
     assert all(r.n_linked == r.n_quotes == min(r.turn, 2) for r in got)
+
+
+def test_two_turns_before_whatever_the_ranges(spark, monkeypatch):
+    """Also where one conversation, or none, holds most messages, and turns lie far apart."""
+    import random
+
+    rng = random.Random(3)
+    rows = [(1, 10 * i + (i > 700) * 10**9, f"m{i}") for i in range(900)] + [(None, i, f"n{i}") for i in range(400)] + [(2 + i // 3, i % 3, f"c{i}") for i in range(300)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string").repartition(5)
+    want = {}
+    for conv in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == conv), key=lambda r: r[1])
+        for k, (c, t, x) in enumerate(own):
+            want[c, t] = (x, own[k - 1][2] if k else None, own[k - 2][2] if k > 1 else None)
+    for size in (1, 2, 7, 100, 10**6):
+        monkeypatch.setattr(ql, "RANGE_ROWS", size)
+        got = {(r.conv_id, r.turn): (r.text, r.one, r.two) for r in ql._with_two_before(df).collect()}
+        assert got == want, size
+    assert ql._with_two_before(df.limit(0)).count() == 0
