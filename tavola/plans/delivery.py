@@ -535,6 +535,19 @@ def best_paid_extras(orders: DataFrame, extras: DataFrame, most: int = 3) -> Dat
     return orders.alias("o").lateralJoin(applied, how="left").select("o.order_id", "best_extras", "best_price")
 
 
+def revenue_per_extra_by_order(
+    co: DataFrame, prices: Mapping[str, int], default: int, extras: DataFrame, premium: str, cancellations: DataFrame, col: str = "pizza_name"
+) -> DataFrame:
+    """``revenue_per_extra`` from sums per order (order_id): pizzas and extras are each reduced to a
+    row an order before they meet, so pizzas need no id of their own. ``cancellations``: order_id,
+    cancellation, one row an order; an order it lacks counts as delivered."""
+    base = co.groupBy("order_id").agg(F.sum(price_of(F.col(col), prices, default)).alias("__base"))
+    charge = extras.groupBy("order_id").agg(F.sum(F.when(F.col("item") == premium, 2).otherwise(1)).alias("__charge"))
+    orders = base.join(charge, "order_id", "left").join(cancellations.select("order_id", "cancellation"), "order_id", "left")
+    total = F.col("__base") + F.coalesce(F.col("__charge"), F.lit(0))
+    return orders.filter(_delivered()).agg(F.sum(total).cast("bigint").alias("total_revenue"))
+
+
 # E05
 def profit(
     co: DataFrame,

@@ -25,6 +25,7 @@ from tavola.operators import (
     splittable,
     top_one,
 )
+from tavola.session import materialize
 
 # Points per $1 and the items that earn double.
 POINTS_PER_UNIT = 10
@@ -76,7 +77,8 @@ def top_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
 # D05
 def favourite_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
     counts = priced_sales(sales, menu).groupBy("customer_id", "product_name").agg(F.count("product_name").alias("n"))
-    return keep_max_ties(counts, "n", "customer_id").select("customer_id", "product_name")
+    # written once: the maxima and the rows at them are both taken from it
+    return keep_max_ties(materialize(counts), "n", "customer_id").select("customer_id", "product_name")
 
 
 # D06
@@ -92,6 +94,8 @@ def first_after_join(
 def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Every item of the member's last purchase day before joining."""
     before = _with_members(sales, menu, members).filter(F.col("order_date") < F.col("join_date"))
+    # the join is written once: the last days and the rows on them are both taken from it
+    before = materialize(before.select("customer_id", "order_date", "product_name"))
     return rows_at_extreme(before, "customer_id", "order_date", "max").select("customer_id", "product_name")
 
 

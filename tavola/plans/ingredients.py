@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tavola.functions import csv_items
-from tavola.operators import broadcast_if_small, format_list, item_lists, joined_list, keep_max_ties, total_by_item, with_position
+from tavola.operators import broadcast_if_small, format_list, item_lists, joined_list, keep_max_ties, splittable, total_by_item, with_position
 
 # Display names and fall-backs of the order label.
 LABEL_UNMODIFIED = {"Meatlovers": "Meat Lovers", "Vegetarian": "Vegetarian Lovers"}
@@ -109,6 +109,25 @@ def order_label(
     return joined.withColumn("order_details", details).drop("__excl", "__ext")
 
 
+def order_label_of_texts(
+    co: DataFrame, toppings: DataFrame, sep: str = ",", exclusions: str = "exclusions", extras: str = "extras", **labels
+) -> DataFrame:
+    """``order_label`` from the text lists themselves: a list's names depend on its text alone, so
+    each distinct text is resolved once and joined back, and rows need no id of their own."""
+    either = F.explode(F.array(exclusions, extras)).alias("__text")
+    texts = co.select(either).filter(F.col("__text").isNotNull()).distinct()
+    ids = texts.select("__text", F.posexplode(csv_items("__text", sep, "int")).alias("pos", "topping_id"))
+    named = ids.join(broadcast_if_small(toppings.select("topping_id", F.col("topping_name").alias("item"))), "topping_id", "inner")
+    lists = splittable(joined_list(named, "__text", "item", order="pos", sep=", ", out="__list"))
+    out = co
+    for c, name in ((exclusions, "__excl"), (extras, "__ext")):
+        out = out.join(lists.select(F.col("__text").alias(c), F.col("__list").alias(name)), c, "left")
+    details = label_sentence(
+        F.col("pizza_name"), F.col(exclusions).isNotNull(), F.col(extras).isNotNull(), F.col("__excl"), F.col("__ext"), **labels
+    )
+    return out.withColumn("order_details", details).drop("__excl", "__ext")
+
+
 # I05
 def ingredient_list(
     qty: DataFrame,

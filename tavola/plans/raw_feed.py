@@ -18,7 +18,6 @@ from tavola.sources.testdata import Tables, load_tables
 
 PRICES = {"Meatlovers": 12, "Vegetarian": 10}
 PREMIUM = "NATION_7"
-KEY = ["order_id", "line", "record_seq"]
 
 
 def _text(c: str | Column) -> Column:
@@ -99,25 +98,38 @@ def top_extra(spark: SparkSession, sf: str) -> DataFrame:
     return I.top_modifier(_clean(t, numbered=False), "extras", _toppings(t, "new_topping_name"))
 
 
+def top_exclusion(spark: SparkSession, sf: str) -> DataFrame:
+    t = load_tables(spark, sf)
+    return I.top_modifier(_clean(t, numbered=False), "exclusions", _toppings(t, "new_topping_name"))
+
+
+def listed_toppings(spark: SparkSession, sf: str) -> DataFrame:
+    """Both lists of a pizza as one text, split into rows; blank tokens are dropped (C17, C18)."""
+    t = load_tables(spark, sf)
+    feed = pizza_feed(t, numbered=False)
+    text = F.concat_ws(",", "exclusions", F.lit(" "), "extras").alias("adjust_full_recipe")
+    rows = D.adjusted_rows(feed.select("order_id", "line", "pizza_name", text), ["order_id", "line"])
+    return D.drop_blank(rows)
+
+
 def four_names(spark: SparkSession, sf: str) -> DataFrame:
     t = load_tables(spark, sf)
-    split = D.split_modifiers(_clean(t)).drop("exclusions", "extras", "pizza_name")
-    return D.name_modifiers(split, _toppings(t), key=KEY).drop("record_seq")
+    split = D.split_modifiers(_clean(t, numbered=False)).drop("exclusions", "extras", "pizza_name")
+    return D.name_modifiers(split, _toppings(t), key=["order_id", "line"])
 
 
 def order_labels(spark: SparkSession, sf: str) -> DataFrame:
     t = load_tables(spark, sf)
-    co, toppings = _clean(t), _toppings(t)
-    rows = I.order_label(co, D.modifier_rows(co, "exclusions", toppings, KEY), D.modifier_rows(co, "extras", toppings, KEY), KEY)
+    rows = I.order_label_of_texts(_clean(t, numbered=False), _toppings(t))
     return rows.select("order_id", "line", "order_details")
 
 
 def revenue_per_extra(spark: SparkSession, sf: str) -> DataFrame:
     """Pizzas outside the price list earn nothing but their extras."""
     t = load_tables(spark, sf)
-    co = D.enrich_cancellation(_clean(t), A.delivery(t).cancellations, unique=True)
-    extras = D.modifier_rows(co, "extras", _toppings(t), KEY)
-    return D.revenue_per_extra(co, PRICES, 0, extras, premium=PREMIUM, key=KEY)
+    co = _clean(t, numbered=False)
+    extras = D.modifier_rows(co, "extras", _toppings(t), ["order_id"])
+    return D.revenue_per_extra_by_order(co, PRICES, 0, extras, PREMIUM, A.delivery(t).cancellations)
 
 
 def ratings_in_range(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,6 +152,8 @@ KEYS = {
     "C04_strip_runner_text": strip_units,
     "A03_delivered_raw_text": delivered_by_runner,
     "I02_top_extra_lists": top_extra,
+    "I03_top_exclusion_lists": top_exclusion,
+    "C18_drop_blank_tokens": listed_toppings,
     "C12_four_name_columns": four_names,
     "I04_order_label_lists": order_labels,
     "E02_revenue_per_extra": revenue_per_extra,
@@ -175,6 +189,16 @@ WHERE o_custkey % 6 <> 5 GROUP BY 1""",
 c AS (SELECT n_name AS new_topping_name, count(*) AS topping_count
       FROM (SELECT unnest(ext) AS id FROM ids) e JOIN nation ON n_nationkey = id GROUP BY n_name)
 SELECT * FROM c WHERE topping_count = (SELECT max(topping_count) FROM c)""",
+        "I03_top_exclusion_lists": f"""WITH {_IDS},
+c AS (SELECT n_name AS new_topping_name, count(*) AS topping_count
+      FROM (SELECT unnest(exc) AS id FROM ids) e JOIN nation ON n_nationkey = id GROUP BY n_name)
+SELECT * FROM c WHERE topping_count = (SELECT max(topping_count) FROM c)""",
+        "C18_drop_blank_tokens": f"""WITH {_IDS},
+tokens AS (
+  SELECT order_id, line, kind, unnest(list_transform(if(len(exc) > 0, exc::VARCHAR[], ['null']), lambda x: x::VARCHAR)) AS topping FROM ids
+  UNION ALL SELECT order_id, line, kind, unnest(list_transform(ext, lambda x: x::VARCHAR)) FROM ids
+  UNION ALL SELECT order_id, line, kind, CASE line % 4 WHEN 0 THEN 'null' ELSE 'x' END FROM ids WHERE line % 4 IN (0, 3))
+SELECT order_id, line, ['Meatlovers', 'Vegetarian', 'Special'][kind + 1] AS pizza_name, topping FROM tokens""",
         "C12_four_name_columns": f"""WITH {_IDS}
 SELECT i.order_id, i.line, {', '.join(f"CAST(i.{c}[{k}] AS INT) AS {n}_{k}, {n}{k}.n_name AS {n}_{k}_topping" for c, n in (('exc', 'exclusion'), ('ext', 'extra')) for k in (1, 2))}
 FROM ids i {' '.join(f"LEFT JOIN nation {n}{k} ON {n}{k}.n_nationkey = i.{c}[{k}]" for c, n in (('exc', 'exclusion'), ('ext', 'extra')) for k in (1, 2))}""",

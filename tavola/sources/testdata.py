@@ -49,5 +49,12 @@ class Tables:
         return self._cache[name]
 
 
+    def replaced(self, **tables: DataFrame) -> Tables:
+        """The same folder with some tables taken from elsewhere."""
+        other = Tables(self.spark, self.root)
+        other._cache.update(tables)
+        return other
+
+
 def load_tables(spark: SparkSession, root: str) -> Tables:
     return Tables(spark, root)

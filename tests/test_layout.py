@@ -17,3 +17,10 @@ def test_bucketed_join_has_no_exchange(spark):
         assert joined.agg(F.sum("n")).first()[0] == t.lineitem.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+
+
+def test_profit_over_the_order_layout_shuffles_no_order(spark):
+    from tavola.plans.registry import QUERIES
+
+    plan = QUERIES["E05_profit_bucketed"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "hashpartitioning(l_orderkey" not in plan and "hashpartitioning(o_orderkey" not in plan
