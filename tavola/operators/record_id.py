@@ -7,11 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tavola.operators.hot import HOT_KEY_ROWS, hot_keys
 from tavola.session import materialize
 
 
 # Copies of one row that a single array of numbers is made for.
 COPIES_AT_ONCE = 100_000
+# Hash places that the rows of keys are counted in: several times the list of hot ones.
+_KEY_PLACES = 65_536
 
 
 def with_record_seq(df: DataFrame, key: Sequence[str], out: str = "record_seq") -> DataFrame:
@@ -51,13 +54,42 @@ def with_record_seq(df: DataFrame, key: Sequence[str], out: str = "record_seq")
     return numbered.select(*df.columns, (F.col("__first") + F.col("__copy") + 1).cast("bigint").alias(out))
 
 
-def continue_record_seq(df: DataFrame, key: Sequence[str], used: DataFrame, out: str = "record_seq") -> DataFrame:
+def continue_record_seq(
+    df: DataFrame, key: Sequence[str], used: DataFrame, out: str = "record_seq", hot_rows: int = HOT_KEY_ROWS
+) -> DataFrame:
     """``with_record_seq`` for rows that come after others: the numbers of a key go on behind the
-    highest one given to it, which ``used`` (key..., high; one row a key) names."""
-    numbered = with_record_seq(df, key, out)
-    before = used.select(*[F.col(k).alias(f"__{k}") for k in key], "high")
+    highest one given to it, which ``used`` (key..., high; any number of rows a key) names.
+
+    Rows and ``used`` meet in one shuffle by key: there a key's highest number comes first and its
+    rows are counted behind it. Keys that share a hash with more than ``hot_rows`` rows would be
+    too long for a task; only they are cut into ranges by ``with_record_seq`` first.
+    """
+    keys = list(key)
+    place = F.pmod(F.xxhash64(*keys), F.lit(_KEY_PLACES)) if keys else F.lit(0).cast("bigint")
+    hot = [r["__place"] for r in hot_keys(df.select(place.alias("__place")), ["__place"], hot_rows).collect()]
+    if not hot:
+        return _continue_in_window(df, keys, used, out)
+    few = _continue_in_window(df.filter(~place.isin(hot)), keys, used, out)
+    return few.unionByName(_continue_in_ranges(df.filter(place.isin(hot)), keys, used, out))
+
+
+def _continue_in_window(df: DataFrame, keys: list[str], used: DataFrame, out: str) -> DataFrame:
+    rest = [c for c in df.columns if c not in keys]
+    rows = df.select("*", F.lit(1).alias("__row"), F.lit(None).cast("bigint").alias("__high"))
+    marks = used.select(*keys, F.lit(0).alias("__row"), F.col("high").cast("bigint").alias("__high"))
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    so_far = Window.partitionBy(*keys).orderBy("__row", *[F.col(c).asc_nulls_first() for c in rest]).rowsBetween(Window.unboundedPreceding, 0)
+    number = F.coalesce(F.max("__high").over(so_far), F.lit(0)) + F.sum("__row").over(so_far)
+    numbered = both.withColumn("__number", number).filter(F.col("__row") == 1)
+    same_types = [F.col(c).cast(df.schema[c].dataType).alias(c) for c in df.columns]
+    return numbered.select(*same_types, F.col("__number").cast("bigint").alias(out))
+
+
+def _continue_in_ranges(df: DataFrame, keys: list[str], used: DataFrame, out: str) -> DataFrame:
+    numbered = with_record_seq(df, keys, out)
+    before = used.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.max("high").alias("__high"))
     same = F.lit(True)
-    for k in key:
+    for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    shifted = (F.col(out) + F.coalesce(F.col("high"), F.lit(0))).cast("bigint")
+    shifted = (F.col(out) + F.coalesce(F.col("__high"), F.lit(0))).cast("bigint")
     return numbered.join(before, same, "left").select(*df.columns, shifted.alias(out))

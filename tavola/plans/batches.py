@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tavola.functions import nullify_sentinels
-from tavola.operators import adjust, joined_list
+from tavola.operators import adjust_tagged, joined_list
 from tavola.plans import delivery as D
 from tavola.plans import ingredients as I
 from tavola.plans import raw_feed
@@ -23,17 +23,25 @@ from tavola.sources.testdata import Tables, load_tables
 KEY = ["order_id", "record_seq"]
 #: Lines shipped before this day are the first batch of the scale tables.
 SECOND_BATCH = "1998-06-01"
+#: Pizzas in a bucket of the store: with their ingredients, what a task groups and sorts in memory.
+BUCKET_PIZZAS = 250_000
 
 
 class OrderStore:
     """The tables of the chain under ``root``: records (one row a pizza, with its id) and qty (its
-    adjusted multiset), both appended by batch."""
+    adjusted multiset), both appended by batch.
 
-    def __init__(self, spark: SparkSession, root: str, feed: StructType):
+    Both lie in the same buckets of the pizza's key. So each pizza moves once, as one row with its
+    text lists; its ingredients, several times as many rows, are made, counted, listed and joined
+    where it lies. ``pizzas``: how many are expected in all; sets the number of buckets."""
+
+    def __init__(self, spark: SparkSession, root: str, feed: StructType, pizzas: int = 0):
+        buckets = max(spark.sparkContext.defaultParallelism, -(-pizzas // BUCKET_PIZZAS))
         self.ids = LastingIds(spark, f"{root}/ids", feed, ["order_id"])
         pizza = StructType(list(feed)).add("record_seq", "long").add("pizza_name", "string")
-        self.records = BatchTable(spark, f"{root}/records", pizza)
-        self.qty = BatchTable(spark, f"{root}/qty", StructType([feed["order_id"]]).add("record_seq", "long").add("item", "string").add("qty", "long"))
+        self.records = BatchTable(spark, f"{root}/records", pizza, KEY, buckets)
+        amount = StructType([feed["order_id"]]).add("record_seq", "long").add("item", "string").add("qty", "long")
+        self.qty = BatchTable(spark, f"{root}/qty", amount, KEY, buckets)
 
     def add_records(self, batch: int, feed: DataFrame, names: DataFrame) -> DataFrame:
         """The pizzas of ``batch`` with their ids, cleaned lists and names, as they were written."""
@@ -48,8 +56,9 @@ class OrderStore:
         that tell the rows of an order apart; ``recipes``: pizza_id, toppings (a text list of ids)."""
         rows = self.add_records(batch, feed, names)
         named = D.name_toppings(D.explode_recipe(recipes), toppings)
-        standard, extras, exclusions = D.recipe_multiset_inputs(rows, named, toppings, KEY)
-        self.qty.append(adjust(standard, extras, exclusions, KEY, "item"), batch)
+        uses = D.recipe_multiset_rows(rows, named, toppings, KEY)
+        is_kind = [F.col("kind") == k for k in ("standard", "extra", "exclusion")]
+        self.qty.append(adjust_tagged(uses, KEY, "item", *is_kind), batch)
 
     def adjusted_recipe(self) -> DataFrame:
         return D.adjusted_recipe(self.qty.read(), self.records.read(), KEY)
@@ -84,7 +93,7 @@ def _menu(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
 def _batches(spark: SparkSession, t: Tables) -> tuple[OrderStore, list[tuple[int, DataFrame]]]:
     """A store, and the order lines in two batches, the second one run twice."""
     feed = _feed(t)
-    store = OrderStore(spark, scratch_path(spark, "orders"), feed.drop("shipped").schema)
+    store = OrderStore(spark, scratch_path(spark, "orders"), feed.drop("shipped").schema, t.lineitem.count())
     late = F.coalesce(F.col("shipped") >= F.lit(SECOND_BATCH).cast("timestamp_ntz"), F.lit(True))
     return store, [(k, feed.filter(own).drop("shipped")) for k, own in ((1, ~late), (2, late), (2, late))]
 

@@ -228,6 +228,36 @@ def recipe_multiset_inputs(
     return standard, extras, exclusions
 
 
+def recipe_multiset_rows(
+    co: DataFrame, recipe_named: DataFrame, toppings: DataFrame, key: Sequence[str] = ("record_id",), sep: str = ","
+) -> DataFrame:
+    """(key..., item, kind): the rows of ``recipe_multiset_inputs`` in one table for
+    ``operators.adjust_tagged``; kind is 'standard', 'extra' or 'exclusion'.
+
+    Each record is read once, expanded to its pizza and its modifier ids and joined to both lookups
+    at once. No union lies between the records and what follows, so a layout by key still holds there."""
+    no_pizza, no_topping = F.lit(None).cast(co.schema["pizza_id"].dataType), F.lit(None).cast("int")
+
+    def use(pizza: Column, topping: Column, kind: str) -> Column:
+        return F.struct(pizza.alias("pizza"), topping.alias("topping"), F.lit(kind).alias("kind"))
+
+    uses = [
+        F.array(use(F.col("pizza_id"), no_topping, "standard")),
+        F.transform(csv_items("extras", sep, "int"), lambda x: use(no_pizza, x, "extra")),
+        F.transform(csv_items("exclusions", sep, "int"), lambda x: use(no_pizza, x, "exclusion")),
+    ]
+    rows = co.select(*key, F.explode(F.flatten(F.filter(F.array(*uses), lambda a: a.isNotNull()))).alias("__use"))
+    rows = rows.select(*key, "__use.pizza", "__use.topping", "__use.kind")
+    std_side = recipe_named.filter(F.col("pizza_id").isNotNull()).select(
+        F.col("pizza_id").alias("__pizza"), F.lit(None).alias("__topping"), F.col("topping_name").alias("item")
+    )
+    side = toppings.filter(F.col("topping_id").isNotNull()).select(
+        F.lit(None).alias("__pizza"), F.col("topping_id").alias("__topping"), F.col("topping_name").alias("item")
+    )
+    same = F.col("pizza").eqNullSafe(F.col("__pizza")) & F.col("topping").eqNullSafe(F.col("__topping"))
+    return rows.join(broadcast_if_small(std_side.unionByName(side)), same, "inner").select(*key, "item", "kind")
+
+
 def adjusted_recipe(qty: DataFrame, records: DataFrame, key: Sequence[str] = ("record_id",), sep: str = ",") -> DataFrame:
     """(key..., pizza_name, adjust_full_recipe): every copy listed, sorted case-insensitively."""
     lists = copies_list(qty, list(key), sep=sep, out="adjust_full_recipe")

@@ -28,28 +28,65 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 class BatchTable:
-    """A Parquet table of ``schema`` at ``path`` (shared storage), partitioned by batch number."""
+    """A Parquet table of ``schema`` at ``path`` (shared storage), partitioned by batch number.
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType):
-        self.spark, self.path = spark, path.rstrip("/")
+    With ``by``, a batch is also cut into ``buckets`` files by the hash of these columns, and what
+    is read is known to lie so: joins and groups by ``by`` move no row. Spark keeps that layout in the
+    catalog alone, so the folder is opened as a catalog table of a name of its own; the number
+    of buckets a folder was begun with stays with it (beside it, in ``path``.buckets)."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, by: Sequence[str] = (), buckets: int = 1):
+        self.spark, self.path, self.by = spark, path.rstrip("/"), list(by)
         self.columns = [f.name for f in schema if f.name != BATCH]
         self.schema = StructType([f for f in schema if f.name != BATCH]).add(BATCH, "long")
         # a table without batches can be read
         spark.createDataFrame([], self.schema).write.mode("ignore").partitionBy(BATCH).parquet(self.path)
+        if self.by:
+            begun = f"{self.path}.buckets"
+            spark.createDataFrame([(buckets,)], "buckets int").write.mode("ignore").parquet(begun)
+            self.buckets = spark.read.schema("buckets int").parquet(begun).first()["buckets"]
+            self.table = f"tavola_batches_{uuid4().hex}"
+            hashed = ", ".join(f"`{c}`" for c in self.by)
+            spark.sql(
+                f"CREATE TABLE {self.table} ({self.schema.toDDL()}) USING parquet PARTITIONED BY ({BATCH}) "
+                f"CLUSTERED BY ({hashed}) SORTED BY ({hashed}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
+            )
 
     def append(self, df: DataFrame, batch: int) -> int:
         """Makes the rows of ``df`` the rows of ``batch``; returns their number."""
         seen = Observation()
         rows = df.select(*self.columns, F.lit(batch).cast("bigint").alias(BATCH)).observe(seen, F.count(F.lit(1)).alias("n"))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(self.path)
+        if self.by:
+            self._insert(rows.repartition(self.buckets, *self.by))  # rows that lie so already stay where they are
+        else:
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(self.path)
         n = seen.get["n"]
         if n == 0:  # no row names the partition: what an earlier run left in it goes
-            self.spark.createDataFrame([], StructType(self.schema.fields[:-1])).write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch}")
+            none = self.spark.createDataFrame([], StructType(self.schema.fields[:-1]))
+            if self.by:
+                self.spark.sql(f"INSERT OVERWRITE TABLE {self.table} PARTITION ({BATCH} = {int(batch)}) SELECT * FROM {{none}}", none=none)
+            else:
+                none.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch}")
         return n
 
+    def _insert(self, rows: DataFrame) -> None:
+        mode = "spark.sql.sources.partitionOverwriteMode"  # the writer's option of that name is for paths only
+        usual = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            rows.write.mode("overwrite").insertInto(self.table)
+        finally:
+            self.spark.conf.set(mode, usual)
+
     def read(self, before: int | None = None, only: int | None = None) -> DataFrame:
         """All batches, those before one, or one: other partitions are not opened."""
-        df = self.spark.read.schema(self.schema).parquet(self.path)
+        if self.by:
+            # the batches in the folder now, whoever wrote them
+            listed = self.spark.conf.get("spark.sql.hive.manageFilesourcePartitions", "true") == "true"
+            (self.spark.catalog.recoverPartitions if listed else self.spark.catalog.refreshTable)(self.table)
+            df = self.spark.table(self.table)
+        else:
+            df = self.spark.read.schema(self.schema).parquet(self.path)
         if only is not None:
             return df.filter(F.col(BATCH) == only)
         return df if before is None else df.filter(F.col(BATCH) < before)
@@ -69,8 +106,7 @@ class LastingIds:
 
     def number(self, df: DataFrame, batch: int) -> DataFrame:
         """``df`` plus the id column; ``mark`` must follow, from the rows as they were written."""
-        used = self.marks.read(before=batch).groupBy(*self.key).agg(F.max("high").alias("high"))
-        return continue_record_seq(df, self.key, used, self.out)
+        return continue_record_seq(df, self.key, self.marks.read(before=batch), self.out)
 
     def mark(self, numbered: DataFrame, batch: int) -> None:
         """Keeps the highest number of every key of a batch."""
