@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tavola.operators import adjust, adjust_tagged, continue_record_seq
 from tavola.plans import delivery as D
-from tavola.plans.batches import KEY, OrderStore
+from tavola.plans.batches import KEY, OrderStore, adjusted_recipes
 from tavola.sources.batches import BatchTable, LastingIds
 
 
@@ -101,3 +101,32 @@ def test_tagged_rows_are_the_three_inputs(spark):
         assert rows(uses.filter(F.col("kind") == kind).drop("kind")) == rows(df) != []
     tagged = adjust_tagged(uses, KEY, "item", *[F.col("kind") == k for k in inputs])
     assert rows(tagged) == rows(adjust(*inputs.values(), KEY, "item"))
+
+
+def _plain_lists(lines, nations):
+    """order_id, record_seq, text of every pizza's ingredients, from the typed columns."""
+    out, last = [], {}
+    for r in sorted(lines, key=lambda r: (r.l_orderkey, str(r.l_shipdate) >= "1998-06-01", r.l_linenumber)):
+        last[r.l_orderkey] = seq = last.get(r.l_orderkey, 0) + 1
+        s, p = r.l_suppkey % 30, r.l_partkey % 30
+        gone = [[], [p], [p, s]][r.l_suppkey % 3]
+        items = [k for k in nations if nations[k][1] == r.l_partkey % 5] + [[], [], [s, p], [s]][r.l_linenumber % 4]
+        kept = sorted((nations[k][0] for k in items if k in nations and k not in gone), key=lambda n: (n.lower(), n))
+        if kept:
+            out.append((r.l_orderkey, seq, ",".join(kept)))
+    return sorted(out, key=lambda t: tuple(map(str, t)))
+
+
+def test_adjusted_recipes_of_both_batches_without_a_shuffle(spark, tmp_path, no_broadcast):
+    lines = spark.range(60).selectExpr(
+        "id % 17 AS l_orderkey", "id * 7 AS l_partkey", "id * 5 % 31 AS l_suppkey", "CAST(id / 17 AS INT) AS l_linenumber",
+        "TIMESTAMP_NTZ'1998-05-20 00:00:00' + make_dt_interval(CAST(id * 11 % 25 AS INT)) AS l_shipdate",
+    )
+    nations = spark.range(25).selectExpr("CAST(id AS INT) AS n_nationkey", "concat(IF(id % 2 = 0, 'N', 'n'), id % 13) AS n_name", "CAST(id % 5 AS INT) AS n_regionkey")
+    regions = spark.range(5).selectExpr("CAST(id AS INT) AS r_regionkey", "concat('R', id) AS r_name")
+    for name, df in (("lineitem", lines), ("nation", nations), ("region", regions)):
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = adjusted_recipes(spark, str(tmp_path))
+    assert "Exchange" not in _plan(got)
+    names = {r.n_nationkey: (r.n_name, r.n_regionkey) for r in nations.collect()}
+    assert rows(got, "order_id", "record_seq", "adjust_full_recipe") == _plain_lists(lines.collect(), names)
